@@ -64,3 +64,7 @@ def choose_fraction(features: DataFrame, n_columns: int, limit_gb: float = 4.0)
     return features.agg(size.alias("estimated_gb")).withColumn(
         "fraction",
         F.when(F.col("estimated_gb") < limit_gb, F.lit(1.0)).otherwise(F.lit(0.75)))
+
+
+def group_sizes(df: DataFrame, key: str = "symbol") -> DataFrame:
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("group_size"))

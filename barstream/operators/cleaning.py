@@ -61,3 +61,8 @@ def limit_symbols(df: DataFrame, symbols: DataFrame, n: int) -> DataFrame:
     if n <= 100_000:
         chosen = F.broadcast(chosen)
     return df.join(chosen, "symbol", "left_semi")
+
+
+def watch_list(df: DataFrame, watched: DataFrame) -> DataFrame:
+    """Rows of watched symbols only."""
+    return df.join(watched.select("symbol"), "symbol", "left_semi")

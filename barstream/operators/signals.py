@@ -181,3 +181,13 @@ def signal_record(df: DataFrame) -> DataFrame:
         F.round(have("gbt_accuracy", 0.0), 1).alias("gbt_accuracy"),
         F.round(F.coalesce(have("lasso_error", 0.0), F.lit(0.0)), 4).alias("lasso_error"),
     )
+
+
+def attach_predictions(df: DataFrame, predictions: DataFrame) -> DataFrame:
+    """Classifier result per bar where there is one.
+
+    Joined on symbol and time, so a hot symbol spreads over all tasks; bars
+    without a result keep a null and fall back to the linear score.
+    """
+    found = predictions.select("symbol", "timestamp", "probability_up")
+    return df.join(found, ["symbol", "timestamp"], "left")
