@@ -25,8 +25,9 @@ _EPS = 1e-8
 EMA_LEAD_IN = 1024
 
 
-def live_layout(bars: DataFrame, params: JobParams = JobParams(), **options) -> SeriesLayout:
-    back = max(params.sma_window, 30, params.rsi_window + 1, 6)
+def live_layout(bars: DataFrame, params: JobParams = JobParams(), at_least: int = 0,
+                **options) -> SeriesLayout:
+    back = max(params.sma_window, 30, params.rsi_window + 1, 6, at_least)
     if params.use_macd:
         # The lead-in grows with the slowest span so the bound above holds.
         back = max(back, EMA_LEAD_IN, 40 * (params.macd_slow + params.macd_signal))
@@ -38,29 +39,41 @@ def rsi_lags(close: Column, window, period: int) -> dict[str, Column]:
     return {f"_close_{k}": F.lag(close, k).over(window) for k in range(1, period + 1)}
 
 
-def rsi_from_lags(close: Column, period: int) -> Column:
-    """RSI over the last ``period + 1`` closes, Wilder smoothing seeded by the first change.
+def _smoothed_changes(close: Column, period: int) -> dict[str, Column]:
+    """Wilder averages of the last ``period`` changes, seeded by the first of them.
 
     The smoothing covers a fixed number of changes, so it is a weighted sum with
-    fixed weights over differences of neighbouring closes.
+    fixed weights.  Gains and losses follow from the signed and the absolute sum:
+    gain = (absolute + net) / 2 and loss = (absolute - net) / 2.  Both sums add
+    in the same order, so a side without any change comes out as exactly 0.
     """
     closes = [close] + [F.col(f"_close_{k}") for k in range(1, period + 1)]
     keep = (period - 1) / period
-    gain, loss = F.lit(0.0), F.lit(0.0)
+    net, absolute = F.lit(0.0), F.lit(0.0)
     for age in range(period):
         weight = keep ** age if age == period - 1 else keep ** age / period
         change = closes[age] - closes[age + 1]
-        gain = gain + F.greatest(change, F.lit(0.0)) * F.lit(weight)
-        loss = loss + F.greatest(-change, F.lit(0.0)) * F.lit(weight)
+        net = net + change * F.lit(weight)
+        absolute = absolute + F.abs(change) * F.lit(weight)
+    return {"_net": net, "_absolute": absolute}
+
+
+def _rsi(oldest: Column) -> Column:
+    """RSI from the two averages; 50 while ``oldest``, the earliest close, is missing."""
+    gain = F.col("_absolute") + F.col("_net")
+    loss = F.col("_absolute") - F.col("_net")
     flat = F.when(gain > 0, F.lit(100.0)).otherwise(F.lit(50.0))
     return (
-        F.when(closes[period].isNull(), F.lit(50.0))
+        F.when(oldest.isNull(), F.lit(50.0))
         .when(loss == 0, flat)
         .otherwise(100.0 - 100.0 / (1.0 + gain / loss))
     )
 
 
-def _window_indicators(df: DataFrame, layout: SeriesLayout, params: JobParams) -> DataFrame:
+def window_indicators(df: DataFrame, layout: SeriesLayout, params: JobParams) -> DataFrame:
+    """All indicators but MACD, over rows already spread by ``layout``."""
+    if "volatility" not in df.columns:
+        df = df.withColumn("volatility", F.lit(1.0))
     w = layout.window()
     last10, last30 = w.rowsBetween(-9, 0), w.rowsBetween(-29, 0)
     close, volume = F.col("Close"), F.col("Volume").cast("double")
@@ -78,15 +91,21 @@ def _window_indicators(df: DataFrame, layout: SeriesLayout, params: JobParams) -
         "_lag_5": F.lag(close, 5).over(w),
         **(rsi_lags(close, w, params.rsi_window) if params.use_rsi else {}),
     })
+    if params.use_rsi:
+        # A step of its own keeps the generated methods small enough to be compiled.
+        df = df.withColumns(_smoothed_changes(close, params.rsi_window))
+        rsi = _rsi(F.col(f"_close_{params.rsi_window}"))
+    else:
+        rsi = F.lit(50.0)
     df = df.withColumns({
         "momentum_1": change_or_zero(close, F.col("prev_price")),
         "momentum_5": change_or_zero(close, F.col("_lag_5")),
         "close_norm": (close - F.col("ma_30")) / (F.col("_sd_close") + _EPS),
         "volume_norm": (volume - F.col("vol_ma_10")) / (F.col("_sd_volume") + _EPS),
         "ma_ratio": ratio_or(F.col("ma_10"), F.col("ma_30"), 1.0),
-        "rsi": rsi_from_lags(close, params.rsi_window) if params.use_rsi else F.lit(50.0),
+        "rsi": rsi,
     })
-    return df.drop("_sd_close", "_sd_volume", "_lag_5",
+    return df.drop("_sd_close", "_sd_volume", "_lag_5", "_net", "_absolute",
                    *[f"_close_{k}" for k in range(1, params.rsi_window + 1)])
 
 
@@ -129,7 +148,10 @@ def _macd_batches(keys: list[str], fast: int, slow: int, signal: int):
 _MACD_COLUMNS = ("macd_line", "macd_signal", "macd_histogram")
 
 
-def _with_macd(df: DataFrame, layout: SeriesLayout, params: JobParams) -> DataFrame:
+def add_macd(df: DataFrame, layout: SeriesLayout, params: JobParams) -> DataFrame:
+    """MACD columns over rows already spread by ``layout``; zeros when switched off."""
+    if not params.use_macd:
+        return df.withColumns({name: F.lit(0.0) for name in _MACD_COLUMNS})
     schema = T.StructType(list(df.schema.fields))
     for name in _MACD_COLUMNS:
         schema = schema.add(name, T.DoubleType())
@@ -144,18 +166,12 @@ def macd(bars: DataFrame, params: JobParams = JobParams(),
          layout: SeriesLayout | None = None) -> DataFrame:
     """Bars with MACD line, signal and histogram."""
     layout = layout or live_layout(bars, params)
-    return layout.settle(_with_macd(layout.spread(bars), layout, params))
+    return layout.settle(add_macd(layout.spread(bars), layout, params))
 
 
 def live_features(bars: DataFrame, params: JobParams = JobParams(),
                   layout: SeriesLayout | None = None) -> DataFrame:
     """All live indicators.  ``volatility`` comes with the bars (1.0 when absent)."""
     layout = layout or live_layout(bars, params)
-    if "volatility" not in bars.columns:
-        bars = bars.withColumn("volatility", F.lit(1.0))
-    df = _window_indicators(layout.spread(bars), layout, params)
-    if params.use_macd:
-        df = _with_macd(df, layout, params)
-    else:
-        df = df.withColumns({name: F.lit(0.0) for name in _MACD_COLUMNS})
-    return layout.settle(df)
+    df = window_indicators(layout.spread(bars), layout, params)
+    return layout.settle(add_macd(df, layout, params))

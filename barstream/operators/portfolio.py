@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from barstream import schemas as S
 from barstream.functions.text import trade_line
-from barstream.operators.series import measure_series, time_bucket
+from barstream.operators.series import SeriesLayout, measure_series, time_bucket
 from barstream.params import JobParams
 from barstream.storage import cut_lineage
 
@@ -160,14 +160,19 @@ def _run_ledger(rows: DataFrame, params: JobParams, states: DataFrame | None,
     return arranged.mapInPandas(_ledger_batches(params, keep_state), schema)
 
 
-def paper_trade(signals: DataFrame, params: JobParams, max_rows: int = MAX_ACCOUNT_ROWS
-                ) -> DataFrame:
+def account_layout(rows: DataFrame, max_rows: int = MAX_ACCOUNT_ROWS) -> SeriesLayout:
+    """Measure accounts; any table with one row per signal will do."""
+    return measure_series(rows, back=0, key="portfolio_id", max_rows=max_rows)
+
+
+def paper_trade(signals: DataFrame, params: JobParams, max_rows: int = MAX_ACCOUNT_ROWS,
+                layout: SeriesLayout | None = None) -> DataFrame:
     """Ledger: every signal row with trade, holding, cash and account value after it.
 
     Needs ``portfolio_id, symbol, timestamp, Close, signal``; other columns pass
     through.
     """
-    layout = measure_series(signals, back=0, key="portfolio_id", max_rows=max_rows)
+    layout = layout or account_layout(signals, max_rows)
     if not layout.long:
         return _run_ledger(signals, params, None, False).drop("_state")
 

@@ -13,26 +13,24 @@ def replay_layout(scored: DataFrame, params: JobParams = JobParams(), **options)
     return measure_series(scored, back=params.replay_errors, **options)
 
 
-def replay_scores(scored: DataFrame, params: JobParams = JobParams(),
-                  layout: SeriesLayout | None = None) -> DataFrame:
-    """Add error, mean error of the last ``replay_errors`` and running hit rate.
+def add_replay(df: DataFrame, layout: SeriesLayout, params: JobParams) -> DataFrame:
+    """Error, mean error of the last ``replay_errors`` and running hit rate, over
+    rows already spread by ``layout``.
 
     The previous prediction is the previous row of the symbol, so no join is
     needed.  A price that did not move counts as "not up".
     """
-    layout = layout or replay_layout(scored, params)
     w = layout.window()
-    df = layout.spread(scored).withColumns({
+    df = df.withColumns({
         "_target": F.lag("target_price").over(w),
         "_direction": F.lag("direction").over(w),
         "_price": F.lag("Close").over(w),
     })
-    known = F.col("_target").isNotNull()
     df = df.withColumn("lasso_error", F.abs(F.col("_target") - F.col("Close")))
     recent = w.rowsBetween(-(params.replay_errors - 1), 0)
     df = df.withColumn("lasso_mae", F.coalesce(
         F.round(F.avg("lasso_error").over(recent), 4), F.lit(0.0)))
-    df = layout.settle(df, keep_chunk=True)
+    known = F.col("_target").isNotNull()
     hit = (F.col("_direction") == 1.0) == (F.col("Close") > F.col("_price"))
     df = layout.with_running_sums(df, {
         "replay_total": known.cast("long"),
@@ -41,7 +39,13 @@ def replay_scores(scored: DataFrame, params: JobParams = JobParams(),
     rate = F.when(F.col("replay_total") > 0,
                   F.round(F.col("replay_correct") / F.col("replay_total") * 100, 1))
     return df.withColumn("gbt_accuracy", F.coalesce(rate, F.lit(0.0))).drop(
-        "_target", "_direction", "_price", "_chunk")
+        "_target", "_direction", "_price")
+
+
+def replay_scores(scored: DataFrame, params: JobParams = JobParams(),
+                  layout: SeriesLayout | None = None) -> DataFrame:
+    layout = layout or replay_layout(scored, params)
+    return layout.settle(add_replay(layout.spread(scored), layout, params))
 
 
 def replay_accuracy(state: DataFrame) -> DataFrame:

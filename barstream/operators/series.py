@@ -116,14 +116,14 @@ class SeriesLayout:
         return df.withColumn(name, share.cast("double")).drop("_n_before", "_n_total")
 
     def with_running_sums(self, df: DataFrame, sums: dict[str, Column]) -> DataFrame:
-        """Running sum from the start of the series; ``df`` holds no copies.
+        """Running sum from the start of the series; copies of rows count as 0.
 
         Terms must be whole numbers so that the order of adding cannot matter.
         """
         running = self.window().rowsBetween(Window.unboundedPreceding, 0)
         if not self.long:
             return df.withColumns({n: F.sum(c).over(running) for n, c in sums.items()})
-        df = df.withColumns({f"_t_{n}": c for n, c in sums.items()})
+        df = df.withColumns({f"_t_{n}": c * F.col(MINE).cast("long") for n, c in sums.items()})
         df = self._with_offsets(df, {f"_s_{n}": F.sum(f"_t_{n}") for n in sums})
         df = df.withColumns(
             {n: F.sum(f"_t_{n}").over(running) + F.col(f"_s_{n}_before") for n in sums})

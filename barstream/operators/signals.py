@@ -72,13 +72,13 @@ def add_direction(df: DataFrame) -> DataFrame:
         F.when(p.isNull(), truncate(fallback)).otherwise(truncate(chosen * 100)))
 
 
-def add_signal(df: DataFrame, threshold: int = 0) -> DataFrame:
-    """Signal and reason; the first rule that matches wins."""
+def _rules(threshold: int) -> list[tuple[Column, str, Column]]:
+    """Condition, signal, reason; the first rule that matches wins."""
     up, score = F.col("direction") == 1.0, F.col("score")
     down = F.col("direction") == 0.0
     weak = F.col("confidence") < threshold
     below = F.format_string(S.REASON_BELOW_THRESHOLD, F.col("confidence"), F.lit(threshold))
-    rules = [
+    return [
         (weak, "HOLD", below),
         (up & (score > 0), "BUY", F.lit(S.REASON_BUY_CONFIRMED)),
         (down & (score < 0), "SELL", F.lit(S.REASON_SELL_CONFIRMED)),
@@ -86,15 +86,19 @@ def add_signal(df: DataFrame, threshold: int = 0) -> DataFrame:
         (down, "SELL", F.lit(S.REASON_SELL)),
     ]
 
-    def first_match(pick: int, default: Column) -> Column:
-        chain = None
-        for rule in rules:
-            value = rule[pick] if isinstance(rule[pick], Column) else F.lit(rule[pick])
-            chain = F.when(rule[0], value) if chain is None else chain.when(rule[0], value)
-        return chain.otherwise(default)
 
-    return df.withColumns({"signal": first_match(1, F.lit("HOLD")),
-                           "reason": first_match(2, F.lit(S.REASON_HOLD))})
+def add_signal(df: DataFrame, threshold: int = 0) -> DataFrame:
+    chain = F
+    for condition, signal, _ in _rules(threshold):
+        chain = chain.when(condition, F.lit(signal))
+    return df.withColumn("signal", chain.otherwise(F.lit("HOLD")))
+
+
+def add_reason(df: DataFrame, threshold: int = 0) -> DataFrame:
+    chain = F
+    for condition, _, reason in _rules(threshold):
+        chain = chain.when(condition, reason)
+    return df.withColumn("reason", chain.otherwise(F.lit(S.REASON_HOLD)))
 
 
 def add_explanation(df: DataFrame, params: JobParams = JobParams()) -> DataFrame:
@@ -126,17 +130,26 @@ def add_anomaly(df: DataFrame, params: JobParams = JobParams()) -> DataFrame:
     return df.withColumn("anomaly", F.when(spike, F.lit(S.ANOMALY_VOLUME)).otherwise(shock))
 
 
-def score_signals(features: DataFrame, weights: Sequence[float], intercept: float,
-                  params: JobParams = JobParams(), tree_model=None) -> DataFrame:
-    """Live features to scored signals; one projection chain, no shuffle."""
-    df = linear_score(features, weights, intercept, limit=params.max_live_return)
+def add_scores(df: DataFrame, weights: Sequence[float], intercept: float,
+               params: JobParams = JobParams(), tree_model=None) -> DataFrame:
+    """Scores, direction, confidence and signal: all that later steps compute with."""
+    df = linear_score(df, weights, intercept, limit=params.max_live_return)
     df = target_price(df)
     if tree_model is not None:
         df = tree_score(df, tree_model)
-    df = add_direction(df)
-    df = add_signal(df, params.min_ai_confidence)
-    df = add_explanation(df, params)
-    return add_anomaly(df, params)
+    return add_signal(add_direction(df), params.min_ai_confidence)
+
+
+def add_texts(df: DataFrame, params: JobParams = JobParams()) -> DataFrame:
+    """Reason, explanation and anomaly; added last, as texts are costly to move."""
+    df = add_reason(df, params.min_ai_confidence)
+    return add_anomaly(add_explanation(df, params), params)
+
+
+def score_signals(features: DataFrame, weights: Sequence[float], intercept: float,
+                  params: JobParams = JobParams(), tree_model=None) -> DataFrame:
+    """Live features to scored signals; one projection chain, no shuffle."""
+    return add_texts(add_scores(features, weights, intercept, params, tree_model), params)
 
 
 def signal_record(df: DataFrame) -> DataFrame:

@@ -7,10 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barstream.operators.indicators import live_features
-from barstream.operators.portfolio import paper_trade
-from barstream.operators.replay import replay_scores
-from barstream.operators.signals import score_signals, signal_record
+from barstream.operators.indicators import (
+    add_macd, live_features, live_layout, window_indicators,
+)
+from barstream.operators.portfolio import account_layout, paper_trade
+from barstream.operators.replay import add_replay
+from barstream.operators.signals import (
+    add_scores, add_texts, score_signals, signal_record,
+)
 from barstream.params import JobParams
 
 
@@ -19,14 +23,31 @@ def scored_bars(bars: DataFrame, weights: Sequence[float], intercept: float,
     return score_signals(live_features(bars, params), weights, intercept, params, tree_model)
 
 
+def replayed_bars(bars: DataFrame, weights: Sequence[float], intercept: float,
+                  params: JobParams = JobParams(), tree_model=None, **layout_options) -> DataFrame:
+    """Scored bars with replay accuracy; texts are left to the caller.
+
+    Indicators, scores and replay windows share one layout and one window
+    definition, hence one shuffle; MACD comes last because it leaves the JVM.
+    """
+    layout = live_layout(bars, params, at_least=params.replay_errors, **layout_options)
+    df = window_indicators(layout.spread(bars), layout, params)
+    df = add_scores(df, weights, intercept, params, tree_model)
+    df = add_replay(df, layout, params)
+    return layout.settle(add_macd(df, layout, params))
+
+
 def signal_records(bars: DataFrame, weights: Sequence[float], intercept: float,
                    params: JobParams = JobParams(), tree_model=None,
                    account: Column | None = None) -> DataFrame:
     """Published records; ``account`` names the account each symbol is traded in."""
-    df = replay_scores(scored_bars(bars, weights, intercept, params, tree_model), params)
+    df = replayed_bars(bars, weights, intercept, params, tree_model)
     if account is not None:
-        df = paper_trade(df.withColumn("portfolio_id", account.cast("string")), params)
-    return signal_record(df)
+        account = account.cast("string")
+        # Accounts are measured on the bars, which is cheaper than on the scored rows.
+        layout = account_layout(bars.withColumn("portfolio_id", account))
+        df = paper_trade(df.withColumn("portfolio_id", account), params, layout=layout)
+    return signal_record(add_texts(df, params))
 
 
 def score_history(bars: DataFrame, model, columns: list[str]) -> DataFrame:

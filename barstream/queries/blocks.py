@@ -88,11 +88,11 @@ full_live AS (
   FROM live l JOIN ema e ON e.symbol = l.symbol AND e.rn = l.rn)"""
 
 # One weight per live linear input, chosen so that all rules fire.
-WEIGHTS = [0.01, -0.004, 0.02, 0.0, 0.003, -0.001, 0.0001]
-INTERCEPT = -0.025
+WEIGHTS = [0.0103, -0.00417, 0.0201, 0.0, 0.0031416, -0.00107, 0.000103]
+INTERCEPT = -0.02513
 
-_RAW = ("close_norm * 0.01 + volume_norm * -0.004 + ma_ratio * 0.02 + momentum_1 * 0.003 "
-        "+ momentum_5 * -0.001 + vol_ma_10 * 0.0001 - 0.025")
+_RAW = ("close_norm * 0.0103 + volume_norm * -0.00417 + ma_ratio * 0.0201 "
+        "+ momentum_1 * 0.0031416 + momentum_5 * -0.00107 + vol_ma_10 * 0.000103 - 0.02513")
 
 
 def scored(live: str, ctes: str, threshold: int = 0, probability: str = "CAST(NULL AS DOUBLE)",
@@ -149,14 +149,15 @@ def ledger(ctes: str, size: str) -> str:
     """One account per symbol, stepped row by row; ``size`` is the order size."""
     return ctes + f""", acct AS (
   SELECT symbol, CAST(0 AS BIGINT) AS rn, CAST(100000.0 AS DOUBLE) AS cash,
-    CAST(0 AS BIGINT) AS held, 'None' AS note, CAST(0 AS BIGINT) AS shares FROM scored WHERE rn = 1
+    CAST(0 AS BIGINT) AS held, 'None' AS note, CAST(0 AS BIGINT) AS shares,
+    CAST(0 AS DOUBLE) AS worth FROM scored WHERE rn = 1
   UNION ALL
   SELECT symbol, rn,
     CASE WHEN buy THEN cash - p * n WHEN sell THEN cash + p * n ELSE cash END,
     CASE WHEN buy THEN held + n WHEN sell THEN held - n ELSE held END,
     CASE WHEN buy THEN 'BOUGHT ' || n || printf(' @ $%.2f', p)
       WHEN sell THEN 'SOLD ' || n || printf(' @ $%.2f', p) ELSE 'None' END,
-    CASE WHEN buy OR sell THEN n ELSE 0 END
+    CASE WHEN buy OR sell THEN n ELSE 0 END, cash + held * p
   FROM (SELECT *, signal = 'BUY' AND cash >= p * n AS buy, signal = 'SELL' AND held >= n AS sell
     FROM (SELECT t.symbol, t.rn, t."Close" AS p, t.signal, a.cash, a.held,
         CAST({size} AS BIGINT) AS n
@@ -164,7 +165,7 @@ def ledger(ctes: str, size: str) -> str:
 ledger AS (
   SELECT t.symbol AS portfolio_id, t.symbol, t."timestamp", t."Close", t.signal,
     a.note AS trade_executed, a.shares AS shares_traded, a.held AS shares_held, a.cash,
-    a.cash + a.held * t."Close" AS portfolio_value
+    a.worth AS portfolio_value
   FROM acct a JOIN scored t ON t.symbol = a.symbol AND t.rn = a.rn)"""
 
 

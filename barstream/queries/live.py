@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from barstream.operators import indicators, replay, signals, views
 from barstream.operators.models import fit_gbt
 from barstream.params import JobParams
-from barstream.plans.live import scored_bars, signal_records
+from barstream.plans.live import replayed_bars, scored_bars, signal_records
 from barstream.plans.training import stored_features
 from barstream.queries import blocks as B
 from barstream.queries.shape import half_up, shaped, shaped_sql
@@ -141,8 +141,8 @@ def m4_tree_score(spark, sf):
 
 def _replay(name: str, columns: str) -> None:
     shape = f"symbol timestamp@ {columns}"
-    QUERIES[name] = lambda spark, sf: shaped(replay.replay_scores(
-        scored_bars(X.bars(spark, sf), B.WEIGHTS, B.INTERCEPT, NO_MACD), NO_MACD), shape)
+    QUERIES[name] = lambda spark, sf: shaped(
+        replayed_bars(X.bars(spark, sf), B.WEIGHTS, B.INTERCEPT, NO_MACD), shape)
     ORACLE[name] = shaped_sql(B.replayed(B.scored("live", B.LIVE)), "replay", shape)
 
 

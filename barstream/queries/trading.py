@@ -21,9 +21,12 @@ RISK = JobParams(use_macd=False, auto_trade=True, position_sizing="percentage")
 
 
 def _ledger(spark, sf, params: JobParams = FIXED):
-    scored = scored_bars(X.bars(spark, sf), B.WEIGHTS, B.INTERCEPT, params).select(
-        F.col("symbol").alias("portfolio_id"), "symbol", "timestamp", "Close", "signal")
-    return portfolio.paper_trade(scored, params)
+    bars = X.bars(spark, sf)
+    account = F.col("symbol")
+    scored = scored_bars(bars, B.WEIGHTS, B.INTERCEPT, params).select(
+        account.alias("portfolio_id"), "symbol", "timestamp", "Close", "signal")
+    layout = portfolio.account_layout(bars.withColumn("portfolio_id", account))
+    return portfolio.paper_trade(scored, params, layout=layout)
 
 
 _SCORED = B.scored("live", B.LIVE)
