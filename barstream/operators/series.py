@@ -150,11 +150,16 @@ def measure_series(
     its shuffle carries one number per key and map task.
     """
     columns = order_columns(df, order)
-    longest = df.groupBy(key).count().agg(F.max("count")).first()[0]
-    if longest is None or longest <= max_rows:
+    time = _micros(df, order)
+    per_key = df.groupBy(key).agg(
+        F.count(F.lit(1)).alias("n"), (F.max(time) - F.min(time)).alias("span"))
+    longest = per_key.agg(F.max(F.struct("n", "span"))).first()[0]
+    if longest is None or longest["n"] <= max_rows:
         return SeriesLayout(key, columns)
 
-    for width in _WIDTHS:
+    # Start with a bucket that would do if the longest series were spread evenly.
+    fitting = [w for w in _WIDTHS if longest["n"] * w <= max_rows * longest["span"]]
+    for width in fitting or _WIDTHS[-1:]:
         counts = df.groupBy(key, time_bucket(df, order, width).alias("_bucket")).agg(
             F.count(F.lit(1)).alias("_n"))
         if counts.agg(F.max("_n")).first()[0] <= max_rows:
