@@ -6,6 +6,8 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from barstream.storage import cut_lineage
+
 _CLIP = 2.220446049250313e-16
 
 
@@ -41,6 +43,8 @@ def roc_auc(scored: DataFrame, label: str, score: str) -> DataFrame:
     groups = scored.groupBy(F.col(score).cast("double").alias("_score"),
                             F.col(label).cast("double").alias("_label")).agg(
         F.count(F.lit(1)).cast("double").alias("_weight"))
+    # Stored once: sorting and counting pass over the groups several times.
+    groups = cut_lineage(groups)
     classes = groups.agg(F.min("_label"), F.max("_label")).first()
     area = float("nan")
     if classes[0] != classes[1]:

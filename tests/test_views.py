@@ -28,10 +28,12 @@ def test_history_limits_rows_before_the_shuffle(spark, sf, tmp_path):
     assert times == sorted(times) and len(times) == 10
 
 
-def test_latest_state_combines_before_the_shuffle(spark, sf):
-    df = views.latest_state(records(spark, sf))
+def test_latest_state_keeps_one_row_per_task_and_reads_what_it_needs(spark, sf, tmp_path):
+    records(spark, sf).write.parquet(str(tmp_path / "records"))
+    df = views.latest_state(spark.read.parquet(str(tmp_path / "records"))).select("symbol", "price")
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "partial_max_by" in plan
+    assert "WindowGroupLimit" in plan and "row_number(), 1, Partial" in plan
+    assert "ReadSchema: struct<symbol:string,timestamp:date,price:double>" in plan
     known = spark.createDataFrame([("1",), ("new",)], "symbol string")
     got = {r["symbol"]: r for r in views.latest_state(records(spark, sf), known).collect()}
     assert set(got) == {"1", "new"}
