@@ -155,8 +155,25 @@ sums AS (SELECT symbol, replica, count(*) AS bars, min(day) AS first_day, max(da
   sum("Volume") AS volume FROM expanded GROUP BY 1, 2)""", "sums", _E1)
 
 
+_E2 = "symbol bars# broken# below_floor# far_off#"
+
+
 def e2_noise(spark, sf):
-    return expansion.repair_ohlc(expansion.add_noise(expansion.expand_history(X.bars(spark, sf), 1)))
+    """Noisy, repaired candles: how many per symbol break a rule of the step."""
+    expanded = expansion.expand_history(X.bars(spark, sf)).withColumn("clean", F.col("Close"))
+    noisy = expansion.repair_ohlc(expansion.add_noise(expanded))
+    low, high = F.col("Low"), F.col("High")
+    broken = (low > F.least("Open", "Close")) | (high < F.greatest("Open", "Close")) | (low > high)
+    return shaped(noisy.groupBy("symbol").agg(
+        F.count(F.lit(1)).alias("bars"), F.count_if(broken).alias("broken"),
+        F.count_if(low < 1.0).alias("below_floor"),
+        F.count_if(F.abs(F.col("Close") - F.greatest(F.lit(1.0), F.col("clean"))) > 5.0)
+        .alias("far_off")), _E2)
+
+
+ORACLE["e2_noise"] = shaped_sql(
+    B.BARS + """, sums AS (SELECT symbol, 15 * count(*) AS bars, 0 AS broken, 0 AS below_floor,
+  0 AS far_off FROM bars GROUP BY 1)""", "sums", _E2)
 
 
 def e3_repair(spark, sf):

@@ -132,11 +132,20 @@ ORACLE["m8_explanation"] = shaped_sql(_NOTES, "explained", "symbol timestamp@ ex
 
 
 def m4_tree_score(spark, sf):
-    """Trees fitted on training features, applied to live features."""
+    """Trees fitted on training features, applied to live features: scores per symbol
+    and how many lie outside 0..1."""
     bars = X.bars(spark, sf)
     model = fit_gbt(stored_features(bars, max_return=10.0), maxIter=3)
     scored = signals.tree_score(indicators.live_features(bars, NO_MACD), model)
-    return scored.select("symbol", "timestamp", "probability_up")
+    p = F.col("probability_up")
+    return shaped(scored.groupBy("symbol").agg(
+        F.count(p).alias("scores"), F.count_if((p < 0) | (p > 1)).alias("outside")),
+        "symbol scores# outside#")
+
+
+ORACLE["m4_tree_score"] = shaped_sql(
+    B.BARS + ", sums AS (SELECT symbol, count(*) AS scores, 0 AS outside FROM bars GROUP BY 1)",
+    "sums", "symbol scores# outside#")
 
 
 def _replay(name: str, columns: str) -> None:
@@ -271,8 +280,22 @@ ORACLE["k3_top_movers"] = shaped_sql(
   ORDER BY abs(momentum) DESC, symbol LIMIT 5)""", "movers", "symbol price~1 momentum~1")
 
 
+_DELTA = "symbol price~1 target~1 line~3 current confidence# anomaly"
+
+
 def k4_tick_delta(spark, sf):
-    return views.to_delta_json(views.tick_delta(_records(spark, sf)))
+    """Deltas as JSON text, some fields read back out of it."""
+    deltas = views.to_delta_json(views.tick_delta(_records(spark, sf)))
+    paths = {"price": "$.market.price", "target": "$.market.history_point.target",
+             "line": "$.indicators.macd.line", "current": "$.signals.current",
+             "confidence": "$.signals.confidence", "anomaly": "$.anomalies[0]"}
+    return shaped(deltas.select("symbol", *[F.get_json_object("delta", path).alias(name)
+                                            for name, path in paths.items()]), _DELTA)
+
+
+ORACLE["k4_tick_delta"] = shaped_sql(
+    _LATEST + """, delta AS (SELECT symbol, price, lasso_target AS target, 0.0 AS line,
+  signal AS current, confidence, anomaly FROM latest)""", "delta", _DELTA)
 
 
 def k5_coalesce_ticks(spark, sf):

@@ -145,13 +145,25 @@ ORACLE["s13_write_runs"] = shaped_sql(
 
 
 def s14_model_round_trip(spark, sf):
-    """Lasso fitted, stored, loaded with its column list, and applied."""
+    """Lasso fitted, stored and loaded with its column list: predictions per symbol and
+    how many differ from those of the model before it was stored."""
     features = stored_features(X.bars(spark, sf), max_return=10.0)
     path = scratch_path(spark, "model")
-    models.save_model(models.fit_lasso(features), path, S.LASSO_FEATURES)
-    model = models.load_model(spark, LinearRegressionModel, path, S.LASSO_FEATURES)
-    scored = models.predict(model, features, S.LASSO_FEATURES)
-    return scored.select("symbol", "timestamp", "prediction")
+    fitted = models.fit_lasso(features)
+    models.save_model(fitted, path, S.LASSO_FEATURES)
+    loaded = models.load_model(spark, LinearRegressionModel, path, S.LASSO_FEATURES)
+    before = models.predict(fitted, features, S.LASSO_FEATURES).withColumnRenamed(
+        "prediction", "before").drop("features")
+    both = models.predict(loaded, before, S.LASSO_FEATURES)
+    return shaped(both.groupBy("symbol").agg(
+        F.count("prediction").alias("predictions"),
+        F.count_if(F.col("prediction") != F.col("before")).alias("changed")),
+        "symbol predictions# changed#")
+
+
+ORACLE["s14_model_round_trip"] = shaped_sql(
+    B.training(10.0) + """, sums AS (SELECT symbol, count(*) AS predictions, 0 AS changed
+  FROM train GROUP BY 1)""", "sums", "symbol predictions# changed#")
 
 
 QUERIES.update({f.__name__: f for f in (

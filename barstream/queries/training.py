@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from barstream import schemas as S
@@ -181,8 +182,20 @@ def m14_score_history(spark, sf):
 
 
 def f1_assemble(spark, sf):
+    """Vectors of rows without a gap: their length and the sum of their elements."""
     vectors = models.assemble(features.rolling_features(X.bars(spark, sf)), S.TREE_FEATURES)
-    return vectors.select("symbol", "timestamp", F.col("features").cast("string").alias("features"))
+    elements = vector_to_array("features")
+    return shaped(vectors.select(
+        "symbol", "timestamp", F.size(elements).alias("length"),
+        F.aggregate(elements, F.lit(0.0), lambda total, x: total + x).alias("total")),
+        "symbol timestamp@ length# total~4")
+
+
+ORACLE["f1_assemble"] = shaped_sql(
+    B.FEATURES + ", vectors AS (SELECT symbol, \"timestamp\", 14 AS length, "
+    + " + ".join(f'"{c}"' for c in S.TREE_FEATURES)
+    + ' AS total FROM rolling WHERE "Volatility" IS NOT NULL)',
+    "vectors", "symbol timestamp@ length# total~4")
 
 
 def f3_random_split(spark, sf):
