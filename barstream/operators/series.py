@@ -101,10 +101,11 @@ class SeriesLayout:
         totals = df.groupBy(*self.keys).agg(*[c.alias(n) for n, c in sums.items()])
         totals = totals.select(
             *self.keys,
-            *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"{n}_before") for n in sums],
+            *[F.sum(n).over(earlier).alias(f"{n}_before") for n in sums],
             *[F.sum(n).over(whole).alias(f"{n}_total") for n in sums],
         )
-        return df.join(totals, self.keys)
+        # Left join: rows without a key are never cut, so nothing comes before them.
+        return df.join(totals, self.keys, "left").fillna(0, [f"{n}_before" for n in sums])
 
     def with_percent_rank(self, df: DataFrame, name: str) -> DataFrame:
         """``percent_rank`` over the whole series; ``df`` holds no copies."""

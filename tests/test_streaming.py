@@ -10,7 +10,9 @@ from barstream.operators.aggregates import batch_bars
 from barstream.operators.views import coalesce_ticks
 from barstream.params import JobParams
 from barstream.plans.live import signal_records
-from barstream.streaming.signals import live_stream, signal_stream, start_signals
+from barstream.streaming.signals import (
+    live_stream, signal_stream, start_rows, start_signals,
+)
 from barstream.streaming.source import read_ticks
 from conftest import nearly_equal
 
@@ -90,10 +92,8 @@ def test_state_survives_a_restart(spark, folder, tmp_path):
     sink, checkpoint = str(tmp_path / "sink"), str(tmp_path / "checkpoint")
 
     def drain():
-        query = (live_stream(read_ticks(spark, str(late), max_files=1), PARAMS).writeStream
-                 .format("parquet").option("path", sink).option("checkpointLocation", checkpoint)
-                 .trigger(availableNow=True).start())
-        query.awaitTermination()
+        stream = live_stream(read_ticks(spark, str(late), max_files=1), PARAMS)
+        start_rows(stream, sink, checkpoint, interval=None).awaitTermination()
 
     for part in (range(0, 3), range(3, BATCHES)):
         for batch in part:
