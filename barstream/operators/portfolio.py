@@ -22,7 +22,7 @@ from barstream import schemas as S
 from barstream.functions.text import trade_line
 from barstream.operators.series import SeriesLayout, measure_series, time_bucket
 from barstream.params import JobParams
-from barstream.storage import cut_lineage
+from barstream.storage import cut_lineage, scratch_path
 
 MAX_ACCOUNT_ROWS = 50_000_000
 
@@ -176,9 +176,17 @@ def paper_trade(signals: DataFrame, params: JobParams, max_rows: int = MAX_ACCOU
     if not layout.long:
         return _run_ledger(signals, params, None, False).drop("_state")
 
+    # Stored once in time order: every slice then reads its own row groups instead of
+    # computing the signals again.
+    spark, path = signals.sparkSession, scratch_path(signals.sparkSession, "signals")
+    (
+        signals.withColumn("_bucket", time_bucket(signals, "timestamp", layout.width))
+        .repartitionByRange("_bucket", "portfolio_id", "symbol")
+        .sortWithinPartitions("_bucket").write.parquet(path)
+    )
+    timed = spark.read.parquet(path)
     # Common slice borders: cut where the longest account has had its share.
     # The window runs over time buckets, whose number depends on the calendar only.
-    timed = signals.withColumn("_bucket", time_bucket(signals, "timestamp", layout.width))
     by_time = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     borders = (
         timed.groupBy("portfolio_id", "_bucket").count()

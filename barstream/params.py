@@ -10,9 +10,6 @@ from dataclasses import dataclass, fields, replace
 class JobParams:
     """Knobs of the live jobs.  Defaults are fixed values."""
 
-    stream_workload: int = 100
-    max_files_per_trigger: int = 5
-    tick_interval_seconds: float = 2.0
     sma_window: int = 20
     rsi_window: int = 14
     starting_cash: float = 100_000.0
@@ -32,7 +29,6 @@ class JobParams:
     macd_slow: int = 26
     macd_signal: int = 9
     replay_errors: int = 50
-    history_points: int = 100
 
     @classmethod
     def from_mapping(cls, values: dict) -> "JobParams":

@@ -62,3 +62,14 @@ def test_last_tick_of_a_window_wins(spark):
         "timestamp", F.timestamp_millis("ms")).drop("ms")
     got = sorted((r["symbol"], r["Close"]) for r in views.coalesce_ticks(df).collect())
     assert got == [("A", 3.0), ("A", 4.0), ("B", 9.0)]
+
+
+def test_ticks_can_be_batched_by_event_time(spark):
+    from barstream.operators.aggregates import batch_bars, tick_windows
+
+    rows = [("A", 0, 1.0), ("A", 150, 3.0), ("A", 250, 5.0)]
+    df = spark.createDataFrame(rows, "Symbol string, ms long, Close double").withColumns(
+        {"timestamp": F.timestamp_millis("ms"),
+         **{c: F.col("Close") for c in ("Open", "High", "Low", "Volume")}})
+    got = batch_bars(df, tick_windows("200 milliseconds")).orderBy("timestamp").collect()
+    assert [r["Close"] for r in got] == [2.0, 5.0]
