@@ -7,10 +7,26 @@ from pyspark.sql import functions as F
 
 from barstream.llm.decontamination import contamination
 from barstream.llm.packing import pack
+from barstream.llm.preferences import preference_format, swapped_answers
+from barstream.llm.quality_classifier import held_out, score, train
+from barstream.llm.quality_rules import quality_rules
 from barstream.llm.tables import read_table
 from barstream.llm.token_counts import token_counts
 
 
+def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = preference_format(swapped_answers(read_table(spark, sf_dir, "conversations")))
+    return pairs.withColumnRenamed("pair_id", "conv_id")
+
+
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    network = train(documents, labels.where(~held_out("doc_id")))
+    scored = score(documents.select("doc_id", "text"), network)
+    return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read_table(spark, sf_dir, "documents"))
 
@@ -26,5 +42,12 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
                         (F.col("n_hit") > 0).alias("contaminated"))
 
 
-QUERIES = {f.__name__: f for f in (op5_token_counts, op6_packing, op7_benchmark_decontamination)}
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_chat_formatting, op2_quality_classifier, op5_token_counts, op6_packing, op7_benchmark_decontamination,
+    op10_quality_rules)}
 ORACLE: dict[str, str] = {}

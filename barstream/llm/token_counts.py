@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from barstream.llm.hashing import text_slices
 from barstream.llm.tables import record_batch, tokenizer_path
-from barstream.llm.tokens import RunEncoder
+from barstream.llm.tokens import OTHER_SPACE, RunEncoder
 
 TABLE_SIZE = 1 << 14
 PER_TASK = 1 << 12
@@ -64,11 +64,9 @@ class _LengthEncoder(RunEncoder):
     def count(self, texts: list[str]) -> list[int]:
         counts = []
         split = [text.split() for text in texts]
-        unknown = {run for runs in split for run in runs}.difference(self._lengths)
-        unknown.difference_update(self._own)
         if len(self._own) > self._entries:
-            unknown.update(run for runs in split for run in runs if run not in self._lengths)
             self._own = {}
+        unknown = {run for runs in split for run in runs}.difference(self._lengths, self._own)
         if unknown:
             self._runs = {}
             self.learn(unknown)
@@ -79,9 +77,8 @@ class _LengthEncoder(RunEncoder):
             total = sum(filter(None, found))
             total += sum(own[runs[i]] for i, n in enumerate(found) if n is None)
             counts.append(total)
-        from barstream.llm.tokens import _OTHER_SPACE
         for i, text in enumerate(texts):
-            if _OTHER_SPACE.search(text):
+            if OTHER_SPACE.search(text):
                 counts[i] = len(self._library([text])[0]) >> 2
         return counts
 
@@ -106,9 +103,8 @@ def token_counts(documents: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     path = tokenizer or tokenizer_path("word_bpe_49k.json")
     runs = frequent_runs(documents, text_col, table_size)
-    encoder = RunEncoder(path, entries=10 * table_size)
-    encoder.learn(runs)
-    lengths = documents.sparkSession.sparkContext.broadcast({r: len(encoder._runs[r]) >> 2 for r in runs})
+    lengths = documents.sparkSession.sparkContext.broadcast(
+        {r: len(packed) >> 2 for r, packed in zip(runs, RunEncoder(path).encode(runs))})
     id_type = documents.schema[id_col].dataType.simpleString()
     counted = documents.select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"),

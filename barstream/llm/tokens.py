@@ -21,13 +21,13 @@ _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
 # The tokenizer's own pre-token pattern, on such characters. Fixed value.
 _PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
 # Separators that Python's split() cuts at and the tokenizer does not.
-_OTHER_SPACE = re.compile("[\x1c-\x1f]")
+OTHER_SPACE = re.compile("[\x1c-\x1f]")
 
 
 class RunEncoder:
     """Packed ids (little-endian, four bytes each) of runs without white space."""
 
-    def __init__(self, path: str, known: dict[str, bytes] | None = None, entries: int = CACHE_ENTRIES):
+    def __init__(self, path: str, entries: int = CACHE_ENTRIES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -37,8 +37,7 @@ class RunEncoder:
         self._ends[[i for s, i in vocabulary.items() if s.endswith("</w>")]] = True
         self._special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
         self._entries = entries
-        self._known = known or {}
-        self._runs: dict[str, bytes] = dict(self._known)
+        self._runs: dict[str, bytes] = {}
         self._pieces: dict[str, bytes] = {}
 
     def _library(self, texts: list[str]) -> list[bytes]:
@@ -59,8 +58,6 @@ class RunEncoder:
 
     def learn(self, runs: Iterable[str]) -> None:
         """Makes every one of ``runs`` known."""
-        if len(self._runs) > self._entries + len(self._known):
-            self._runs = dict(self._known)
         if len(self._pieces) > self._entries:
             self._pieces = {}
         plain, other = {}, []
@@ -77,6 +74,8 @@ class RunEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed ids of whole texts, of one slice at a time."""
+        if len(self._runs) > self._entries:
+            self._runs = {}
         split = [text.split() for text in texts]
         unknown = {run for runs in split for run in runs}.difference(self._runs)
         if unknown:
@@ -84,6 +83,6 @@ class RunEncoder:
         look_up = self._runs.__getitem__
         packed = [b"".join(map(look_up, runs)) for runs in split]
         for i, text in enumerate(texts):
-            if _OTHER_SPACE.search(text):
+            if OTHER_SPACE.search(text):
                 packed[i] = self._library([text])[0]
         return packed
