@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barstream.llm.decontamination import contamination
+from barstream.llm.jaccard_join import jaccard_components
 from barstream.llm.packing import pack
 from barstream.llm.preferences import preference_format, swapped_answers
 from barstream.llm.quality_classifier import held_out, score, train
@@ -27,6 +28,10 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(read_table(spark, sf_dir, "documents"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read_table(spark, sf_dir, "documents"))
 
@@ -48,6 +53,6 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_chat_formatting, op2_quality_classifier, op5_token_counts, op6_packing, op7_benchmark_decontamination,
+    op1_chat_formatting, op2_quality_classifier, op3_jaccard_join, op5_token_counts, op6_packing, op7_benchmark_decontamination,
     op10_quality_rules)}
 ORACLE: dict[str, str] = {}
