@@ -11,6 +11,7 @@ from barstream.llm.packing import pack
 from barstream.llm.preferences import preference_format, swapped_answers
 from barstream.llm.quality_classifier import held_out, score, train
 from barstream.llm.quality_rules import quality_rules
+from barstream.llm.suffix_dedup import repeated_bytes
 from barstream.llm.tables import read_table
 from barstream.llm.token_counts import token_counts
 
@@ -47,6 +48,10 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
                         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_bytes(read_table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -54,5 +59,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_chat_formatting, op2_quality_classifier, op3_jaccard_join, op5_token_counts, op6_packing, op7_benchmark_decontamination,
-    op10_quality_rules)}
+    op8_suffix_array_dedup, op10_quality_rules)}
 ORACLE: dict[str, str] = {}
