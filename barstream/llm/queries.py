@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barstream.llm.decontamination import contamination
+from barstream.llm.html_extraction import extract
 from barstream.llm.jaccard_join import jaccard_components
 from barstream.llm.packing import pack
 from barstream.llm.preferences import preference_format, swapped_answers
@@ -52,6 +53,10 @@ def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_bytes(read_table(spark, sf_dir, "documents"))
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(read_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -59,5 +64,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_chat_formatting, op2_quality_classifier, op3_jaccard_join, op5_token_counts, op6_packing, op7_benchmark_decontamination,
-    op8_suffix_array_dedup, op10_quality_rules)}
+    op8_suffix_array_dedup, op9_html_extraction, op10_quality_rules)}
 ORACLE: dict[str, str] = {}
