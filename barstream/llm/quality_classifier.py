@@ -5,7 +5,7 @@ covered by overlapping chunks; each filter's largest response in a chunk goes in
 of the chunk logits gives one probability for the whole text.
 
 The network is fitted on the driver on at most ``PER_CLASS`` labelled texts of each class, picked by a hash of the
-id; that bound is a parameter. Scoring runs in Arrow batches where the texts are read, without a shuffle, over
+id; that bound is a parameter. Both classes count alike while fitting; the odds of the labels are added after. Scoring runs in Arrow batches where the texts are read, without a shuffle, over
 every byte of every text.
 """
 
@@ -138,7 +138,10 @@ def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
         network.weights[:] = 0
         network.shift[:] = 0 if not len(wanted) else (4 if wanted[0] == 1 else -4)
         return network
-    return network.fit(texts, wanted, steps)
+    network.fit(texts, wanted, steps)
+    rows = {r[label_col]: r["n"] for r in labels.where(F.col(label_col).isin(0, 1)).groupBy(label_col).agg(F.count("*").alias("n")).collect()}
+    network.shift += np.float32(np.log(rows[1] / rows[0]))
+    return network
 
 
 def score(documents: DataFrame, network: ByteNetwork, text_col: str = "text", score_col: str = "score") -> DataFrame:

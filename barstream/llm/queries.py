@@ -9,6 +9,7 @@ from barstream.llm.decontamination import contamination
 from barstream.llm.html_extraction import extract
 from barstream.llm.jaccard_join import jaccard_components
 from barstream.llm.packing import pack
+from barstream.llm.passages import passage_groups
 from barstream.llm.preferences import preference_format, swapped_answers
 from barstream.llm.quality_classifier import held_out, score, train
 from barstream.llm.quality_rules import quality_rules
@@ -34,6 +35,10 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(read_table(spark, sf_dir, "documents"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passage_groups(read_table(spark, sf_dir, "documents"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read_table(spark, sf_dir, "documents"))
 
@@ -63,6 +68,6 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_chat_formatting, op2_quality_classifier, op3_jaccard_join, op5_token_counts, op6_packing, op7_benchmark_decontamination,
+    op1_chat_formatting, op2_quality_classifier, op3_jaccard_join, op4_substring_dedup, op5_token_counts, op6_packing, op7_benchmark_decontamination,
     op8_suffix_array_dedup, op9_html_extraction, op10_quality_rules)}
 ORACLE: dict[str, str] = {}
