@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from barstream.llm.decontamination import contamination
 from barstream.llm.html_extraction import extract
 from barstream.llm.jaccard_join import jaccard_components
+from barstream.llm.oracle import ORACLE  # noqa: F401
 from barstream.llm.packing import pack
 from barstream.llm.passages import passage_groups
 from barstream.llm.preferences import preference_format, swapped_answers
@@ -70,4 +71,4 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_chat_formatting, op2_quality_classifier, op3_jaccard_join, op4_substring_dedup, op5_token_counts, op6_packing, op7_benchmark_decontamination,
     op8_suffix_array_dedup, op9_html_extraction, op10_quality_rules)}
-ORACLE: dict[str, str] = {}
+
