@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from barstream.llm.tables import record_batch, stored, tokenizer_path
 from barstream.llm.token_counts import slice_texts
-from barstream.llm.tokens import RunEncoder
+from barstream.llm.tokens import PieceEncoder
 
 CAPACITY = 2048
 END_ID = 1
@@ -31,7 +31,7 @@ RANKED_ROWS = 50_000  # pieces of one length that one task ranks, about
 
 def _pieces(path: str, capacity: int, end: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = RunEncoder(path)
+        encoder = PieceEncoder(path)
         step = 4 * capacity
         for batch in batches:
             for first, last, texts in slice_texts(batch.column(1)):

@@ -1,9 +1,8 @@
 """Token counts by a two-tier lookup on the map side.
 
-A first pass over all texts finds frequent pre-tokens (here: runs without white space): every task keeps its most
-frequent ones only, and these short lists are summed. The ``TABLE_SIZE`` most frequent are encoded once and
-broadcast as a compact table. The second pass looks every run up there, then in the worker's own cache, and
-encodes what neither knows. No pre-token of the corpus is shuffled; the lists summed are bounded per task, the
+A first pass over all texts finds frequent pre-tokens: every task keeps its most frequent ones only, and these short
+lists are summed. The ``TABLE_SIZE`` most frequent are encoded once and broadcast as a compact table of their lengths.
+The second pass looks every pre-token up there, then in the worker's own cache, and encodes what neither knows. No pre-token of the corpus is shuffled; the lists summed are bounded per task, the
 table is bounded altogether, and it only decides what is fast, never a count.
 """
 
@@ -19,7 +18,7 @@ from pyspark.sql import functions as F
 
 from barstream.llm.hashing import text_slices
 from barstream.llm.tables import record_batch, tokenizer_path
-from barstream.llm.tokens import OTHER_SPACE, RunEncoder
+from barstream.llm.tokens import PieceEncoder, pre_tokens
 
 TABLE_SIZE = 1 << 14
 PER_TASK = 1 << 12
@@ -32,65 +31,55 @@ def slice_texts(column: pa.Array) -> Iterator[tuple[int, int, list[str]]]:
         yield first, last, ["" if t is None else t for t in column.slice(first, last - first).to_pylist()]
 
 
-def _frequent_runs(per_task: int):
+def _frequent(per_task: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
         for batch in batches:
             for _, _, texts in slice_texts(batch.column(0)):
                 for text in texts:
-                    counts.update(text.split())
+                    counts.update(pre_tokens(text))
                 if len(counts) > 32 * per_task:  # rare ones go, so memory is bounded
                     counts = Counter(dict(counts.most_common(8 * per_task)))
         top = counts.most_common(per_task)
-        yield record_batch(run=pa.array([r for r, _ in top], pa.string()), n=pa.array([n for _, n in top], pa.int64()))
+        yield record_batch(piece=pa.array([p for p, _ in top], pa.string()), n=pa.array([n for _, n in top], pa.int64()))
     return run
 
 
-def frequent_runs(documents: DataFrame, text_col: str, size: int = TABLE_SIZE, per_task: int = PER_TASK) -> list[str]:
-    """The most frequent runs without white space over all texts, at most ``size``."""
-    counted = documents.select(text_col).mapInArrow(_frequent_runs(per_task), "run string, n long")
-    top = counted.groupBy("run").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "run").limit(size)
-    return [r["run"] for r in top.collect()]
+def frequent_pre_tokens(documents: DataFrame, text_col: str, size: int = TABLE_SIZE, per_task: int = PER_TASK) -> list[str]:
+    """The most frequent pre-tokens over all texts, at most ``size``."""
+    counted = documents.select(text_col).mapInArrow(_frequent(per_task), "piece string, n long")
+    top = counted.groupBy("piece").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "piece").limit(size)
+    return [r["piece"] for r in top.collect()]
 
 
-class _LengthEncoder(RunEncoder):
-    """Counts instead of ids: the table's lengths first, then the worker's own cache."""
+class _LengthCounter:
+    """The table's lengths first, then the worker's own cache."""
 
     def __init__(self, path: str, lengths: dict[str, int]):
-        super().__init__(path)
-        self._lengths = lengths
-        self._own: dict[str, int] = {}
+        self._encoder = PieceEncoder(path)
+        self._table = lengths
 
     def count(self, texts: list[str]) -> list[int]:
+        cut = [pre_tokens(text) for text in texts]
+        own = self._encoder.learn(set().union(*cut).difference(self._table))
         counts = []
-        split = [text.split() for text in texts]
-        if len(self._own) > self._entries:
-            self._own = {}
-        unknown = {run for runs in split for run in runs}.difference(self._lengths, self._own)
-        if unknown:
-            self._runs = {}
-            self.learn(unknown)
-            self._own.update((run, len(packed) >> 2) for run, packed in self._runs.items())
-        table, own = self._lengths.get, self._own
-        for text, runs in zip(texts, split):
-            found = list(map(table, runs))
-            total = sum(filter(None, found))
-            total += sum(own[runs[i]] for i, n in enumerate(found) if n is None)
+        for pieces in cut:
+            known = list(map(self._table.get, pieces))
+            total = sum(filter(None, known))
+            if None in known:
+                total += sum(len(own[pieces[i]]) for i, n in enumerate(known) if n is None) >> 2
             counts.append(total)
-        for i, text in enumerate(texts):
-            if OTHER_SPACE.search(text):
-                counts[i] = len(self._library([text])[0]) >> 2
         return counts
 
 
 def _count(table, path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _LengthEncoder(path, table.value)
+        counter = _LengthCounter(path, table.value)
         for batch in batches:
             for first, last, texts in slice_texts(batch.column(1)):
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(first, last - first), batch.column(2).slice(first, last - first),
-                     pa.array(encoder.count(texts), pa.int64())], names=["id", "n_bytes", "n_tokens"])
+                     pa.array(counter.count(texts), pa.int64())], names=["id", "n_bytes", "n_tokens"])
     return run
 
 
@@ -99,12 +88,12 @@ def token_counts(documents: DataFrame, id_col: str = "doc_id", text_col: str = "
     """Per row of ``documents``: id, n_bytes (UTF-8), n_tokens, over_limit (more than ``limit`` tokens).
 
     Null texts count as empty: no bytes, no tokens. Null ids and repeated rows are kept, one result each. An empty
-    table gives an empty result. Ties among frequent runs do not matter to any count. Other columns are not read.
+    table gives an empty result. Ties among frequent pre-tokens do not matter to any count. Other columns are not read.
     """
     path = tokenizer or tokenizer_path("word_bpe_49k.json")
-    runs = frequent_runs(documents, text_col, table_size)
-    lengths = documents.sparkSession.sparkContext.broadcast(
-        {r: len(packed) >> 2 for r, packed in zip(runs, RunEncoder(path).encode(runs))})
+    frequent = frequent_pre_tokens(documents, text_col, table_size)
+    encoded = PieceEncoder(path, table_size).learn(frequent)
+    lengths = documents.sparkSession.sparkContext.broadcast({p: len(encoded[p]) >> 2 for p in frequent})
     id_type = documents.schema[id_col].dataType.simpleString()
     counted = documents.select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"),

@@ -1,8 +1,8 @@
 """Token ids of texts by a public tokenizer that drops white space, through caches of pre-tokens.
 
-White space never takes part in a token, so a text's ids are those of its runs without white space. Such a run is
-looked up first; an unknown one is cut into pre-tokens, and only unknown pre-tokens reach the library, many in
-one call. Runs with anything but plain letters, digits and signs go to the library as they are.
+The tokenizer lower-cases, cuts a text into pre-tokens and encodes each by itself. Texts of plain letters, digits and
+signs are cut into pre-tokens here, and only those that no cache has reach the library, many in one call. In other
+texts every run without white space that has other characters goes to the library as it is, under its own cache entry.
 """
 
 from __future__ import annotations
@@ -13,19 +13,39 @@ from collections.abc import Iterable
 
 import numpy as np
 
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 400_000  # of a generation; two are kept
 
-# Runs whose pre-tokens are found here: printable ASCII and the letters of Latin-1, which lower-case and
+# Characters whose pre-tokens are found here: printable ASCII and the letters of Latin-1, which lower-case and
 # normalise to one letter each.
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
+_PLAIN_TEXT = re.compile(r"[ -~\t\n\v\f\rÀ-ÖØ-öø-ÿ]*")
 # The tokenizer's own pre-token pattern, on such characters. Fixed value.
 _PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
 # Separators that Python's split() cuts at and the tokenizer does not.
-OTHER_SPACE = re.compile("[\x1c-\x1f]")
+_OTHER_SPACE = re.compile("[\x1c-\x1f]")
+# What begins a special token.
+_SPECIAL = "<|"
+# Before a run or text that goes to the library as it is.
+_RAW = "\0"
 
 
-class RunEncoder:
-    """Packed ids (little-endian, four bytes each) of runs without white space."""
+def pre_tokens(text: str) -> list[str]:
+    """The text's pre-tokens, in order; parts that only the library can cut are one entry, marked by a zero."""
+    if _PLAIN_TEXT.fullmatch(text) and _SPECIAL not in text:
+        return _PIECES.findall(text.lower())
+    if _OTHER_SPACE.search(text):
+        return [_RAW + text]
+    found = []
+    for run in text.split():
+        if _PLAIN.fullmatch(run) and _SPECIAL not in run:
+            found += _PIECES.findall(run.lower())
+        else:
+            found.append(_RAW + run)
+    return found
+
+
+class PieceEncoder:
+    """Packed ids (little-endian, four bytes each) of pre-tokens."""
 
     def __init__(self, path: str, entries: int = CACHE_ENTRIES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -35,54 +55,45 @@ class RunEncoder:
         vocabulary = self._tokenizer.get_vocab()
         self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self._ends[[i for s, i in vocabulary.items() if s.endswith("</w>")]] = True
-        self._special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
         self._entries = entries
-        self._runs: dict[str, bytes] = {}
-        self._pieces: dict[str, bytes] = {}
+        self._new: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes()
                 for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _encode_pieces(self, pieces: list[str]) -> None:
+    def _encoded(self, pieces: list[str]) -> list[bytes]:
         """Joined by blanks and cut again after the ids that end a pre-token."""
+        out: list[bytes] = []
         for i in range(0, len(pieces), 2000):
             part = pieces[i:i + 2000]
             packed = self._library([" ".join(part)])[0]
             stops = (np.flatnonzero(self._ends[np.frombuffer(packed, "<u4")]) + 1) * 4
-            if len(stops) == len(part) and (not len(part) or stops[-1] == len(packed)):
+            if len(stops) == len(part) and stops[-1] == len(packed):
                 stops = stops.tolist()
-                self._pieces.update(zip(part, (packed[a:b] for a, b in zip([0, *stops[:-1]], stops))))
-            else:
-                self._pieces.update(zip(part, self._library(part)))
-
-    def learn(self, runs: Iterable[str]) -> None:
-        """Makes every one of ``runs`` known."""
-        if len(self._pieces) > self._entries:
-            self._pieces = {}
-        plain, other = {}, []
-        for run in runs:
-            if _PLAIN.fullmatch(run) and not any(s in run for s in self._special):
-                plain[run] = _PIECES.findall(run.lower())
+                out += [packed[a:b] for a, b in zip([0, *stops[:-1]], stops)]
             else:
-                other.append(run)
-        pieces = self._pieces
-        self._encode_pieces(list({p for found in plain.values() for p in found if p not in pieces}))
-        for run, found in plain.items():
-            self._runs[run] = b"".join([pieces[p] for p in found])
-        self._runs.update(zip(other, self._library(other)))
+                out += self._library(part)
+        return out
+
+    def learn(self, pieces: Iterable[str]) -> dict[str, bytes]:
+        """A table that has every one of ``pieces``; it holds no more entries than given, beyond those."""
+        if len(self._new) > self._entries:  # those still in use come back from the last generation
+            self._new, self._old = {}, self._new
+        unknown = set(pieces).difference(self._new)
+        if unknown:
+            before = unknown.intersection(self._old)
+            self._new.update((p, self._old[p]) for p in before)
+            fresh = list(unknown - before)
+            raw = [p for p in fresh if p[0] == _RAW]
+            plain = [p for p in fresh if p[0] != _RAW]
+            self._new.update(zip(plain, self._encoded(plain)))
+            self._new.update(zip(raw, self._library([p[1:] for p in raw])))
+        return self._new
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed ids of whole texts, of one slice at a time."""
-        if len(self._runs) > self._entries:
-            self._runs = {}
-        split = [text.split() for text in texts]
-        unknown = {run for runs in split for run in runs}.difference(self._runs)
-        if unknown:
-            self.learn(unknown)
-        look_up = self._runs.__getitem__
-        packed = [b"".join(map(look_up, runs)) for runs in split]
-        for i, text in enumerate(texts):
-            if OTHER_SPACE.search(text):
-                packed[i] = self._library([text])[0]
-        return packed
+        cut = [pre_tokens(text) for text in texts]
+        look_up = self.learn(set().union(*cut)).__getitem__
+        return [b"".join(map(look_up, pieces)) for pieces in cut]
