@@ -16,8 +16,14 @@ def change_or_zero(value: Column, base: Column) -> Column:
     return ratio_or(value - base, base, 0.0)
 
 
+def present(value: Column) -> Column:
+    """Whether there is a number: neither null nor NaN."""
+    return value.isNotNull() & ~F.isnan(value)
+
+
 def clamp(value: Column, limit: float) -> Column:
-    return F.greatest(F.lit(-limit), F.least(F.lit(limit), value))
+    """``value`` held between ``-limit`` and ``limit``; a missing one (null, NaN) becomes null."""
+    return F.when(present(value), F.greatest(F.lit(-limit), F.least(F.lit(limit), value)))
 
 
 def truncate(value: Column) -> Column:

@@ -20,8 +20,7 @@ from barstream.storage import shared_dir
 LASSO_RETURN = dict(elasticNetParam=1.0, regParam=0.001, maxIter=200, standardization=True)
 LASSO_PRICE = dict(elasticNetParam=1.0, regParam=0.01, maxIter=20)
 TREE_PRESETS = {
-    "main": dict(maxDepth=5, maxIter=50, maxBins=256, subsamplingRate=0.8, stepSize=0.1,
-                 cacheNodeIds=True, checkpointInterval=10),
+    "main": dict(maxDepth=5, maxIter=50, maxBins=256, subsamplingRate=0.8, stepSize=0.1),
     "small": dict(maxIter=10),
     # Leaf-wise libraries are re-aimed at depth-wise trees: 31 leaves ~ depth 5,
     # 255 leaves ~ depth 8.
@@ -35,9 +34,10 @@ TREE_PRESETS = {
 FEATURES_META = "feature_columns.json"
 
 
-def assemble(df: DataFrame, columns: list[str], output: str = "features") -> DataFrame:
-    """Feature vector; rows with a missing or NaN input are skipped."""
-    return VectorAssembler(inputCols=columns, outputCol=output, handleInvalid="skip").transform(df)
+def assemble(df: DataFrame, columns: list[str], output: str = "features",
+             missing: str = "skip") -> DataFrame:
+    """Feature vector; rows with a missing or NaN input are skipped, or kept with NaN ("keep")."""
+    return VectorAssembler(inputCols=columns, outputCol=output, handleInvalid=missing).transform(df)
 
 
 def _draw(seed: int):
@@ -81,7 +81,9 @@ def fit_gbt(train: DataFrame, preset: str = "main", columns: list[str] | None =
             **overrides) -> GBTClassificationModel:
     """Boosted trees on the direction label."""
     shared_dir(train.sparkSession)
-    settings = {**TREE_PRESETS[preset], "seed": 42, **overrides}
+    # Every round reads the rows again; node ids are cached and their lineage is cut.
+    settings = {"cacheNodeIds": True, "checkpointInterval": 10, **TREE_PRESETS[preset],
+                "seed": 42, **overrides}
     keep = ["features", "Target_Direction"]
     if preset == "balanced":
         train = class_weights(train)

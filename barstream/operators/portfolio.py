@@ -82,6 +82,11 @@ class Account:
         return out
 
 
+def _times(pdf: pd.DataFrame) -> pd.Series:
+    """Times as integers; missing ones are equal to each other."""
+    return pd.to_datetime(pdf["timestamp"]).astype("int64")
+
+
 def _ledger_batches(params: JobParams, keep_state: bool):
     """Batch function over rows sorted by account, time and symbol.
 
@@ -96,10 +101,17 @@ def _ledger_batches(params: JobParams, keep_state: bool):
         def settle(pdf: pd.DataFrame) -> Iterator[pd.DataFrame]:
             nonlocal account, owner
             columns = [pdf[c].tolist() for c in
-                       ("portfolio_id", "timestamp", "symbol", "Close", "signal", "_state")]
-            owners, times, symbols, prices, signals, states = columns
+                       ("portfolio_id", "symbol", "Close", "signal", "_state")]
+            owners, symbols, prices, signals, states = columns
+            times = _times(pdf).tolist()
+            lacking = pdf[["portfolio_id", "timestamp", "symbol", "Close"]].isna().any(axis=1).tolist()
             rows, finished, kept, i = [], [], [], 0
             while i < len(owners):
+                if lacking[i] and not isinstance(states[i], str):
+                    rows.append((S.TRADE_NONE, 0, None, None, None))
+                    kept.append(i)
+                    i += 1
+                    continue
                 if owners[i] != owner:
                     if keep_state and account is not None:
                         finished.append((owner, account.dumps()))
@@ -109,7 +121,7 @@ def _ledger_batches(params: JobParams, keep_state: bool):
                     i += 1
                     continue
                 j = i
-                while j < len(owners) and owners[j] == owner and times[j] == times[i]:
+                while j < len(owners) and owners[j] == owner and times[j] == times[i] and not lacking[j]:
                     j += 1
                 rows += account.trade(symbols[i:j], prices[i:j], signals[i:j], params)
                 kept.extend(range(i, j))
@@ -125,8 +137,8 @@ def _ledger_batches(params: JobParams, keep_state: bool):
                 pdf = pd.concat([held_back, pdf], ignore_index=True)
             if pdf.empty:
                 continue
-            same = ((pdf["portfolio_id"] == pdf["portfolio_id"].iloc[-1])
-                    & (pdf["timestamp"] == pdf["timestamp"].iloc[-1]))
+            owners, times = pdf["portfolio_id"].fillna(""), _times(pdf)
+            same = (owners == owners.iloc[-1]) & (times == times.iloc[-1])
             cut = int(same.to_numpy().argmax())
             held_back = pdf.iloc[cut:]
             if cut:
@@ -170,7 +182,8 @@ def paper_trade(signals: DataFrame, params: JobParams, max_rows: int = MAX_ACCOU
     """Ledger: every signal row with trade, holding, cash and account value after it.
 
     Needs ``portfolio_id, symbol, timestamp, Close, signal``; other columns pass
-    through.
+    through.  A row without account, symbol, time or price stays, but does not trade:
+    it has no holding, cash or value.
     """
     layout = layout or account_layout(signals, max_rows)
     if not layout.long:
@@ -232,9 +245,9 @@ def trade_log(trade_rows: DataFrame, n: int = 10) -> DataFrame:
 
 
 def holdings(ledger: DataFrame) -> DataFrame:
-    """Last holding per account and symbol."""
-    return ledger.groupBy("portfolio_id", "symbol").agg(
-        F.max_by("shares_held", "timestamp").alias("shares"))
+    """Last holding per account and symbol; of equal times the larger one."""
+    return ledger.filter("shares_held IS NOT NULL").groupBy("portfolio_id", "symbol").agg(
+        F.max(F.struct("timestamp", "shares_held"))["shares_held"].alias("shares"))
 
 
 def open_positions(held: DataFrame) -> DataFrame:

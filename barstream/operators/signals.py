@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barstream import schemas as S
-from barstream.functions.numeric import clamp, truncate, weighted_sum
+from barstream.functions.numeric import clamp, present, truncate, weighted_sum
 from barstream.params import JobParams
 
 # --- fixed values: input order of the live linear model ---------------------
@@ -30,7 +31,8 @@ def linear_score(df: DataFrame, weights: Sequence[float], intercept: float,
     """Raw and clamped linear score."""
     raw = weighted_sum(list(inputs), list(weights), intercept)
     df = df.withColumn("score_raw", raw)
-    score = F.col("score_raw") if limit is None else clamp(F.col("score_raw"), limit)
+    raw = F.col("score_raw")
+    score = F.when(present(raw), raw) if limit is None else clamp(raw, limit)
     return df.withColumn("score", score)
 
 
@@ -42,34 +44,46 @@ def tree_score(df: DataFrame, model) -> DataFrame:
     """P(up) and direction from a fitted tree classifier (row-wise, JVM side).
 
     ``model`` reads the vector column it was trained on, assembled here from the
-    live columns.
+    live columns.  A bar with a missing input keeps its row and gets no probability,
+    so it falls back to the linear score.
     """
     from barstream.operators.models import assemble
 
     renamed = df.select("*", *[F.col(src).alias(f"_tree_{name}")
                                for name, src in LIVE_TREE_INPUTS.items()])
     inputs = [f"_tree_{name}" for name in S.TREE_FEATURES]
-    vectors = assemble(renamed, inputs, model.getFeaturesCol()).drop(*inputs)
+    whole = reduce(Column.__and__, [present(F.col(c).cast("double")) for c in inputs])
+    renamed = renamed.withColumn("_tree_whole", whole)
+    vectors = assemble(renamed, inputs, model.getFeaturesCol(), missing="keep").drop(*inputs)
     scored = model.transform(vectors)
     return scored.withColumn(
-        "probability_up", vector_to_array(F.col(model.getProbabilityCol()))[1]
+        "probability_up",
+        F.when(F.col("_tree_whole"), vector_to_array(F.col(model.getProbabilityCol()))[1])
     ).drop(model.getFeaturesCol(), model.getProbabilityCol(),
-           model.getRawPredictionCol(), model.getPredictionCol())
+           model.getRawPredictionCol(), model.getPredictionCol(), "_tree_whole")
 
 
 def add_direction(df: DataFrame) -> DataFrame:
-    """Direction (1 up, 0 down), fallback from the linear score, and confidence."""
-    if "probability_up" not in df.columns:
-        df = df.withColumn("probability_up", F.lit(None).cast("double"))
+    """Direction (1 up, 0 down), fallback from the linear score, and confidence.
+
+    Without a score there is no direction and no confidence.
+    """
+    p = F.col("probability_up") if "probability_up" in df.columns else F.lit(None).cast("double")
+    df = df.withColumn("probability_up", F.when(present(p), p))
     p, score = F.col("probability_up"), F.col("score")
-    up = F.when(p.isNull(), score > 0).otherwise(p > 0.5)
-    df = df.withColumns({"direction": F.when(up, F.lit(1.0)).otherwise(F.lit(0.0)),
+    up = F.when(present(score), F.when(p.isNull(), score > 0).otherwise(p > 0.5))
+    df = df.withColumns({"direction": F.when(up, F.lit(1.0)).when(~up, F.lit(0.0)),
                          "stale": p.isNull()})
     chosen = F.when(F.col("direction") == 1.0, p).otherwise(1.0 - p)
     fallback = F.least(F.lit(70.0), F.abs(score) * 1000)
     return df.withColumn(
         "confidence",
-        F.when(p.isNull(), truncate(fallback)).otherwise(truncate(chosen * 100)))
+        F.when(F.col("direction").isNull(), F.lit(0))
+        .when(p.isNull(), truncate(fallback)).otherwise(truncate(chosen * 100)))
+
+
+def _side(direction: Column) -> Column:
+    return F.when(direction == 1.0, "UP").when(direction == 0.0, "DOWN").otherwise("FLAT")
 
 
 def _rules(threshold: int) -> list[tuple[Column, str, Column]]:
@@ -112,7 +126,7 @@ def add_explanation(df: DataFrame, params: JobParams = JobParams()) -> DataFrame
                      .when(histogram < -0.1, F.lit(S.NOTE_BEARISH)))
     joined = F.concat_ws(", ", *notes) if notes else F.lit("")
     technical = F.when(joined != "", F.format_string(" Technical: %s.", joined)).otherwise("")
-    side = F.when(F.col("direction") == 1.0, "UP").otherwise("DOWN")
+    side = _side(F.col("direction"))
     text = F.format_string(
         "GBT predicts %s. Lasso baseline: %+.2f%% expected return.%s Action: %s — %s",
         side, F.col("score") * 100, technical, F.col("signal"), F.col("reason"))
@@ -161,7 +175,7 @@ def signal_record(df: DataFrame) -> DataFrame:
     def have(name: str, default) -> Column:
         return F.col(name) if name in df.columns else F.lit(default)
 
-    side = F.when(F.col("direction") == 1.0, "UP").otherwise("DOWN")
+    side = _side(F.col("direction"))
     ledger = ["portfolio_id"] if "portfolio_id" in df.columns else []
     positions = (F.col("positions") if "positions" in df.columns
                  else F.create_map().cast("map<string,bigint>"))

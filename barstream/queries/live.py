@@ -131,11 +131,31 @@ explained AS (SELECT *, 'GBT predicts ' || CASE WHEN direction = 1 THEN 'UP' ELS
 ORACLE["m8_explanation"] = shaped_sql(_NOTES, "explained", "symbol timestamp@ explanation")
 
 
+def m7_missing_values(spark, sf):
+    """Bars without volume (null or NaN) have no score: they hold, with no confidence."""
+    n = F.col("Volume")
+    bars = X.bars(spark, sf).withColumn("Volume", F.when(n % 5 == 1, F.lit(None)).when(
+        n % 5 == 2, F.lit(float("nan"))).otherwise(n.cast("double")))
+    bars = bars.withColumn("Volume", F.nanvl("Volume", F.lit(None).cast("double")))
+    scored = scored_bars(bars, B.WEIGHTS, B.INTERCEPT, NO_MACD)
+    missing = F.col("score").isNull()
+    return shaped(scored.groupBy("symbol").agg(
+        F.count(F.lit(1)).alias("bars"), F.count_if(missing).alias("missing"),
+        F.count_if(missing & ((F.col("signal") != "HOLD") | (F.col("confidence") != 0))).alias("wrong")),
+        "symbol bars# missing# wrong#")
+
+
+ORACLE["m7_missing_values"] = shaped_sql(
+    B.BARS + """, sums AS (SELECT symbol, count(*) AS bars,
+  count(*) FILTER (WHERE "Volume" % 5 IN (1, 2)) AS missing, 0 AS wrong FROM bars GROUP BY 1)""",
+    "sums", "symbol bars# missing# wrong#")
+
+
 def m4_tree_score(spark, sf):
     """Trees fitted on training features, applied to live features: scores per symbol
     and how many lie outside 0..1."""
     bars = X.bars(spark, sf)
-    model = fit_gbt(stored_features(bars, max_return=10.0), maxIter=3)
+    model = fit_gbt(stored_features(bars, max_return=10.0))
     scored = signals.tree_score(indicators.live_features(bars, NO_MACD), model)
     p = F.col("probability_up")
     return shaped(scored.groupBy("symbol").agg(
@@ -313,6 +333,6 @@ last AS (SELECT us // 200000 * 200000 AS window_us, symbol, max(us) AS ts_us,
     "last", "window_us# symbol ts_us# Close~2 Volume#")
 
 QUERIES.update({f.__name__: f for f in (
-    l13_macd, l12_live_features, l14_toggles, m8_explanation, m4_tree_score, m12_signal_record,
+    l13_macd, l12_live_features, l14_toggles, m8_explanation, m7_missing_values, m4_tree_score, m12_signal_record,
     s11_write_signals, a6_replay_accuracy, a7_edge_vs_random, k1_latest_state, k2_history,
     k2_history_lists, k3_top_movers, k4_tick_delta, k5_coalesce_ticks)})

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from barstream import schemas as S
 from barstream.operators import cleaning, models
+from barstream.plans.ingest import run_ingestion
 from barstream.plans.training import stored_features
 from barstream.queries import blocks as B
 from barstream.queries.shape import half_up, shaped, shaped_sql
@@ -16,6 +17,7 @@ from barstream.storage import scratch_path
 
 QUERIES, ORACLE = {}, {}
 
+ROW_CAP = 4_321
 BAR_SHAPE = "symbol timestamp@ Open High Low Close Volume#"
 
 _RAW_SQL = """raw AS (
@@ -58,7 +60,7 @@ def _stored_bars(spark, sf):
 
 def s3_read_bars(spark, sf):
     stored = readers.read_bars(spark, _stored_bars(spark, sf))
-    per_symbol = stored.groupBy(F.col("symbol").cast("string").alias("symbol")).agg(
+    per_symbol = stored.groupBy("symbol").agg(
         F.count(F.lit(1)).alias("bars"), F.sum("Volume").alias("volume"),
         F.max("High").alias("high"), F.min("timestamp").alias("first_day"))
     return shaped(per_symbol, "symbol bars# volume# high first_day@")
@@ -70,30 +72,48 @@ ORACLE["s3_read_bars"] = shaped_sql(
     "per_symbol", "symbol bars# volume# high first_day@")
 
 
+def s3_ingest_round_trip(spark, sf):
+    """Raw rows with zero-padded tickers through ingestion and back: text symbols, told-apart replicas."""
+    raw, target = scratch_path(spark, "raw"), scratch_path(spark, "ingested")
+    X.raw_rows(spark, sf).withColumn("Ticker", F.lpad("Ticker", 9, "0")).write.option("header", True).csv(raw)
+    run_ingestion(spark, raw, target, multiplier=3, sigma=0.0)
+    bars = readers.read_bars(spark, target)
+    return shaped(bars.groupBy("symbol", "replica").agg(
+        F.count(F.lit(1)).alias("bars"), F.sum("Volume").alias("volume"), F.min("timestamp").alias("first_day")),
+        "symbol replica# bars# volume# first_day@")
+
+
+ORACLE["s3_ingest_round_trip"] = shaped_sql(
+    _RAW_SQL + """, bars AS (SELECT lpad("Ticker", 9, '0') AS symbol, replica, count(*) AS bars, sum(volume_n) AS volume,
+  min(CAST("Date" AS DATE) + CAST(365 * replica AS INTEGER)) AS first_day
+  FROM raw CROSS JOIN (SELECT unnest([1, 2, 3]) AS replica) WHERE close IS NOT NULL AND volume_n IS NOT NULL GROUP BY 1, 2)""",
+    "bars", "symbol replica# bars# volume# first_day@")
+
+
 def s4_row_capped_scan(spark, sf):
-    return shaped(readers.first_rows(X.bars(spark, sf), 500_000), BAR_SHAPE)
+    return shaped(readers.first_rows(X.bars(spark, sf), ROW_CAP), BAR_SHAPE)
 
 
 ORACLE["s4_row_capped_scan"] = shaped_sql(
-    B.BARS + """, capped AS (SELECT * FROM bars ORDER BY symbol, "timestamp" LIMIT 500000)""",
+    B.BARS + f""", capped AS (SELECT * FROM bars ORDER BY symbol, "timestamp" LIMIT {ROW_CAP})""",
     "capped", BAR_SHAPE)
 
 
 def s5_write_bars(spark, sf):
     stored = readers.read_bars(spark, _stored_bars(spark, sf))
-    return shaped(stored.withColumn("symbol", F.col("symbol").cast("string")), BAR_SHAPE)
+    return shaped(stored, BAR_SHAPE)
 
 
 ORACLE["s5_write_bars"] = shaped_sql(B.BARS, "bars", BAR_SHAPE)
 
 
 def s6_list_symbols(spark, sf):
-    return readers.list_symbols(X.bars(spark, sf), 50)
+    return readers.list_symbols(X.bars(spark, sf))
 
 
 ORACLE["s6_list_symbols"] = (
     "SELECT DISTINCT CAST(l_suppkey AS VARCHAR) AS symbol, CAST(100.0 AS DOUBLE) AS base_price "
-    "FROM lineitem ORDER BY symbol LIMIT 50")
+    "FROM lineitem ORDER BY symbol")
 
 _REPLAY_SHAPE = "day Symbol Open~4 Close~4 Volume#"
 
@@ -115,7 +135,8 @@ def s10_read_replay(spark, sf):
         .alias("Volume"),
     ).write.option("header", True).option("ignoreLeadingWhiteSpace", False).option(
         "ignoreTrailingWhiteSpace", False).csv(path)
-    wanted = [f"S{n}" for n in range(0, 60)]
+    wanted = spark.read.parquet(f"{sf}/supplier.parquet").filter("s_nationkey < 13").select(
+        F.concat(F.lit("S"), F.col("s_suppkey")).alias("symbol"))
     rows = readers.read_replay(spark, path, wanted)
     return shaped(rows.withColumn("day", F.date_format("timestamp", "yyyy-MM-dd")), _REPLAY_SHAPE)
 
@@ -124,7 +145,8 @@ ORACLE["s10_read_replay"] = shaped_sql(
     B.BARS + f""", rows AS (SELECT strftime("timestamp", '%Y-%m-%d') AS day,
   'S' || symbol AS "Symbol", {half_up('"Open"', 4)} AS "Open",
   {half_up('"Close"', 4)} AS "Close", "Volume" FROM bars
-  WHERE "Volume" % 10 NOT IN (3, 7) AND CAST(symbol AS INTEGER) < 60)""", "rows", _REPLAY_SHAPE)
+  WHERE "Volume" % 10 NOT IN (3, 7)
+    AND CAST(symbol AS INTEGER) IN (SELECT s_suppkey FROM supplier WHERE s_nationkey < 13))""", "rows", _REPLAY_SHAPE)
 
 
 def s13_write_runs(spark, sf):
@@ -167,5 +189,5 @@ ORACLE["s14_model_round_trip"] = shaped_sql(
 
 
 QUERIES.update({f.__name__: f for f in (
-    s1_read_raw, s2_standardize, s3_read_bars, s4_row_capped_scan, s5_write_bars, s6_list_symbols,
+    s1_read_raw, s2_standardize, s3_read_bars, s3_ingest_round_trip, s4_row_capped_scan, s5_write_bars, s6_list_symbols,
     s10_read_replay, s13_write_runs, s14_model_round_trip)})

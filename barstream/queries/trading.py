@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from barstream.functions.numeric import present
 from barstream.functions.text import trade_side
 from barstream.operators import portfolio
 from barstream.params import JobParams
@@ -43,6 +44,30 @@ def t2_paper_trade(spark, sf):
 ORACLE["t2_paper_trade"] = shaped_sql(_FIXED_SQL, "ledger", _LEDGER)
 
 
+def t2_missing_values(spark, sf):
+    """Rows without account, time or price stay and do not trade; the others of their symbol do."""
+    n = F.col("Volume")
+    signals = X.bars(spark, sf).select(
+        "symbol", F.when(n % 11 != 3, F.col("symbol")).alias("portfolio_id"),
+        F.when(n % 13 != 4, F.col("timestamp")).alias("timestamp"),
+        F.when(n % 17 == 5, F.lit(float("nan"))).otherwise(F.col("Close")).alias("Close"),
+        F.lit("BUY").alias("signal"))
+    ledger = portfolio.paper_trade(signals, JobParams(auto_trade=True, starting_cash=1e12, trade_size_shares=1))
+    missing = F.col("portfolio_id").isNull() | F.col("timestamp").isNull() | ~present(F.col("Close"))
+    traded = F.col("trade_executed") != "None"
+    return shaped(ledger.groupBy("symbol").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(missing).alias("missing"),
+        F.count_if(traded).alias("trades"), F.count_if(traded & missing).alias("wrong")),
+        "symbol rows# missing# trades# wrong#")
+
+
+ORACLE["t2_missing_values"] = shaped_sql(
+    B.BARS + """, marked AS (SELECT symbol, "Volume" % 11 = 3 OR "Volume" % 13 = 4 OR "Volume" % 17 = 5 AS missing FROM bars),
+sums AS (SELECT symbol, count(*) AS rows, count(*) FILTER (WHERE missing) AS missing,
+  count(*) FILTER (WHERE NOT missing) AS trades, 0 AS wrong FROM marked GROUP BY 1)""",
+    "sums", "symbol rows# missing# trades# wrong#")
+
+
 def t1_risk_sizing(spark, sf):
     return shaped(_ledger(spark, sf, RISK), _LEDGER)
 
@@ -195,6 +220,6 @@ shared AS (
   FROM pot a JOIN steps_of t ON t.pid = a.pid AND t.k = a.k)""", "shared", _SHARED)
 
 QUERIES.update({f.__name__: f for f in (
-    t2_paper_trade, t1_risk_sizing, s12_write_trades, t3_portfolio_value, t4_pnl,
+    t2_missing_values, t2_paper_trade, t1_risk_sizing, s12_write_trades, t3_portfolio_value, t4_pnl,
     t5_open_positions, j3_mark_to_market, t6_query_trades, t6_trades_of_symbol, t7_trade_log,
     p12_trade_side, t8_reset_portfolio, t2_shared_account)})

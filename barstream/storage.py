@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,13 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """Folder named by ``spark.checkpoint.dir``.
 
-    A folder of our own is made only where the session names none, which is the
-    case in tests and single-machine runs.
+    A folder of our own is made only where the session names none and runs on one machine;
+    on a cluster executors would not share it, so that is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     current = context.getCheckpointDir()
     if current is None:
+        if not named and not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="barstream-"))
         current = context.getCheckpointDir()
     return named or current

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barstream.functions.numeric import present
 from barstream.schemas import TICK
 
 
@@ -29,4 +30,4 @@ def read_ticks(spark: SparkSession, folder: str, max_files: int = 5, newest_firs
         arrived = F.col("_metadata.file_modification_time")
         fresh = F.unix_timestamp(F.current_timestamp()) - F.unix_timestamp(arrived)
         ticks = ticks.filter(fresh < max_age_seconds)
-    return ticks.filter(F.col("Symbol").isNotNull() & F.col("Close").isNotNull())
+    return ticks.filter(F.col("timestamp").isNotNull() & F.col("Symbol").isNotNull() & present(F.col("Close")))

@@ -75,28 +75,50 @@ def test_candle_repair_uses_the_new_high(spark):
 def test_stored_bars_prune_and_push_down(spark, sf, tmp_path):
     path = str(tmp_path / "stored")
     sinks.write_bars(fixtures.bars(spark, sf), path)
-    df = readers.read_bars(spark, path).filter("symbol = 3 AND Close > 100").select("Close")
+    df = readers.read_bars(spark, path).filter("symbol = '3' AND Close > 100").select("Close")
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(symbol" in plan and "GreaterThan(Close,100.0)" in plan
-    assert "ReadSchema: struct<Close:double>" in plan
+    assert "EqualTo(symbol,3)" in plan and "GreaterThan(Close,100.0)" in plan
+    assert "ReadSchema: struct<symbol:string,Close:double>" in plan
     # Feature windows pass a symbol filter down to the scan.
     from barstream.operators.features import rolling_features
     from barstream.operators.series import SeriesLayout
 
     windows = rolling_features(readers.read_bars(spark, path),
-                               SeriesLayout("symbol", ("timestamp",))).filter("symbol = 3")
-    assert "PartitionFilters: [isnotnull(symbol" in windows._jdf.queryExecution().executedPlan().toString()
+                               SeriesLayout("symbol", ("timestamp",))).filter("symbol = '3'")
+    assert "EqualTo(symbol,3)" in windows._jdf.queryExecution().executedPlan().toString()
 
 
 def test_files_are_time_ordered(spark, sf, tmp_path):
     path = str(tmp_path / "ordered")
     sinks.write_bars(fixtures.bars(spark, sf), path)
     rows = spark.read.parquet(path).select(
-        F.col("_metadata.file_path").alias("f"), F.monotonically_increasing_id().alias("i"), "timestamp")
+        F.col("_metadata.file_path").alias("f"), F.monotonically_increasing_id().alias("i"), "symbol", "timestamp")
     from pyspark.sql import Window
 
-    late = rows.withColumn("next", F.lead("timestamp").over(Window.partitionBy("f").orderBy("i")))
+    late = rows.withColumn("next", F.lead("timestamp").over(Window.partitionBy("f", "symbol").orderBy("i")))
     assert late.filter("next < timestamp").count() == 0
+    # As few files as tasks, whatever the number of symbols.
+    assert rows.select("f").distinct().count() <= 4
+
+
+def test_symbols_stay_text(spark, tmp_path):
+    rows = [("007", 1.0), ("7", 2.0)]
+    bars = spark.createDataFrame([(s, x, x, x, x, 1, 2) for s, x in rows], "symbol string, Open double, High double, Low double, Close double, Volume long, replica int")
+    bars = bars.withColumn("timestamp", F.current_date())
+    sinks.write_bars(bars, str(tmp_path / "sorted"))
+    bars.write.partitionBy("symbol").parquet(str(tmp_path / "folders"))
+    for path in ("sorted", "folders"):
+        back = readers.read_bars(spark, str(tmp_path / path))
+        assert back.columns == [*S.BAR_COLUMNS, "replica"]
+        assert sorted((r.symbol, r.Close) for r in back.collect()) == rows
+
+
+def test_row_cap_at_every_border(spark, sf):
+    bars = fixtures.bars(spark, sf).limit(0).unionByName(fixtures.bars(spark, sf).filter("symbol IN ('1', '2', '3')"))
+    ordered = [tuple(r) for r in bars.orderBy("symbol", "timestamp").collect()]
+    first = sum(r[0] == "1" for r in ordered)
+    for limit in (0, 1, first, first + 1, len(ordered), len(ordered) + 5):
+        assert sorted(tuple(r) for r in readers.first_rows(bars, limit).collect()) == ordered[:limit]
 
 
 REPLAY = """ts,symbol,o,h,l,c,v
@@ -111,7 +133,8 @@ REPLAY = """ts,symbol,o,h,l,c,v
 def test_replay_rows(spark, tmp_path):
     path = tmp_path / "replay.csv"
     path.write_text(REPLAY)
-    got = readers.read_replay(spark, str(path), ["AAPL", "MSFT"]).orderBy("timestamp").collect()
+    got = readers.read_replay(
+        spark, str(path), spark.createDataFrame([("AAPL",), ("MSFT",)], "symbol string")).orderBy("timestamp").collect()
     assert [(r["Symbol"], r["Volume"]) for r in got] == [("AAPL", 10.0), ("MSFT", 10.0)]
     swapped = tmp_path / "swapped.csv"
     swapped.write_text("Ticker,Date,O,H,L,C,Adj,V\nmsft,2024-01-01,1,2,0.5,1.5,9,77\n")
@@ -168,3 +191,15 @@ def test_watch_list_and_workload(spark, sf):
     assert {r["symbol"] for r in first.select("symbol").distinct().collect()} == {"0", "1"}
     watched = cleaning.watch_list(bars, spark.createDataFrame([("4",)], "symbol string"))
     assert {r["symbol"] for r in watched.select("symbol").distinct().collect()} == {"4"}
+
+
+def test_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from barstream.storage import shared_dir
+
+    session = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default: default),
+        sparkContext=SimpleNamespace(master="local-cluster[2,1,1024]", getCheckpointDir=lambda: None))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(session)
