@@ -10,9 +10,14 @@ Frequencies are counted over all documents in a table of fixed size (2^18 hash b
 everywhere and is all that is broadcast.
 
 Groups of near copies would give all pairs of their members. Instead every node is first verified against one
-leader, a member of the postings it shares most of; this takes at most one pair a node. Then only candidates
-between different groups are left: per token, members outside its largest group against all members. A pair
-inside a group would change no group. Verification is exact, on the whole sets.
+leader, the node in its postings that has the largest share of its prefix in common with others; this takes at most one
+pair a node. Then only candidates between different groups are left: per token, members outside its largest group
+against all members. A pair inside a group would change no group.
+
+Of two followers z and x of one leader b, the common tokens are at most min(|z & b|, |x & b|) and those that both have
+beyond b. Where the first is too little, they are candidates only if they share a token beyond b, which is found by
+a join of what followers have beyond their leaders. So the far members of a large group are not held against all of it.
+Verification is exact, on the whole sets.
 """
 
 from __future__ import annotations
@@ -34,6 +39,7 @@ MAX_MATCHES = 6
 SEEN_NODES = 100_000    # nodes a task remembers so as not to repeat a copy's prefix; more only cost repeats
 VERIFY_COST = 0.05      # of one shingle in a verification, against reading one posting
 FILTER_BITS = 23
+FOLLOW_PERCENT = 80     # a node less similar to its leader is compared as if it had none
 
 
 def _bucket(tokens: np.ndarray) -> np.ndarray:
@@ -151,23 +157,24 @@ def _sets(size: int, wanted):
     return run
 
 
-def _verified(percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            linked = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                small, large = (x, y) if len(x) <= len(y) else (y, x)
-                place = np.searchsorted(large, small)
-                place[place == len(large)] = 0
-                both = int((large[place] == small).sum())
-                linked.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield batch.select([0, 1]).filter(pa.array(linked, pa.bool_()))
-    return run
-
-
-def _links(pairs: DataFrame, read: DataFrame, contents: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of nodes that reach the threshold."""
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Set sizes, common tokens and what a has beyond b, of every pair."""
+    for batch in batches:
+        a_n, b_n, both, beyond = [], [], [], []
+        for x, y in zip(batch.column(2), batch.column(3)):
+            x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+            place = np.searchsorted(y, x)
+            place[place == len(y)] = 0
+            rest = signed(x[y[place] != x])
+            a_n.append(len(x)), b_n.append(len(y)), both.append(len(x) - len(rest))
+            beyond.append(rest if 100 * both[-1] >= FOLLOW_PERCENT * (len(x) + len(y) - both[-1]) else rest[:0])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array(a_n, pa.int64()), pa.array(b_n, pa.int64()), pa.array(both, pa.int64()),
+             pa.array(beyond, pa.list_(pa.int64()))], names=["a", "b", "a_n", "b_n", "both", "beyond"])
+
+
+def _comparisons(pairs: DataFrame, read: DataFrame, contents: DataFrame, size: int) -> DataFrame:
+    """Exact comparisons (a, b, a_n, b_n, both, beyond) of pairs of nodes."""
     nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     slots = (contents.join(nodes, "node").select(F.shiftrightunsigned("content", 64 - FILTER_BITS).alias("s"))
              .groupBy(F.shiftright("s", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(s & 63 as int)))").alias("bits")).toArrow())
@@ -179,7 +186,47 @@ def _links(pairs: DataFrame, read: DataFrame, contents: DataFrame, size: int, pe
     return (pairs.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("a_tokens")), "a")
             .join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("b_tokens")), "b")
             .select("a", "b", "a_tokens", "b_tokens")
-            .mapInArrow(_verified(percent), "a long, b long"))
+            .mapInArrow(_compared, "a long, b long, a_n long, b_n long, both long, beyond array<long>"))
+
+
+def _reaches(percent: int, both: Column, n: Column, m: Column) -> Column:
+    """Whether ``both`` common tokens of sets of n and m are enough."""
+    return both * (100 + percent) >= percent * (n + m)
+
+
+def _near(x: str, y: str, percent: int) -> Column:
+    """Whether two set sizes allow the threshold."""
+    return 100 * F.least(x, y) >= percent * F.greatest(x, y)
+
+
+def _across(rows: DataFrame, keys: list[str], percent: int, beyond: bool) -> DataFrame:
+    """Pairs of nodes in different groups that share a key: members outside the key's largest group with all members.
+
+    With ``beyond``, the keys are tokens beyond a leader: what two of its followers have of it in common, and the tokens
+    beyond it, must be able to reach the threshold. Otherwise followers of one leader that need such tokens are left
+    out, and the others must share enough keys.
+    """
+    members = rows.groupBy(*keys, "component").agg(F.count("*").alias("members"))
+    largest = (members.groupBy(*keys).agg(F.max(F.struct("members", "component"))["component"].alias("largest"), F.count("*").alias("groups"))
+               .where("groups > 1").select(*keys, "largest"))
+    mixed = rows.join(largest, keys)
+    fields = ["node", "n", "need", "component", "leader", "both"]
+    side = lambda name: [F.col(f).alias(f"{name}_{f}") for f in fields]
+    outside = mixed.where("component <> largest").select(*keys, *side("a"))
+    inside = mixed.select(*keys, *side("b"), (F.col("component") == F.col("largest")).alias("b_largest"))
+    pairs = (outside.join(inside, keys).where("a_component <> b_component")
+             .where(F.col("b_largest") | (F.col("a_node") < F.col("b_node"))).where(_near("a_n", "b_n", percent)))
+    ends = [F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")]
+    of_leader = F.least("a_both", "b_both")
+    enough = lambda common: _reaches(percent, common, F.col("a_n"), F.col("b_n"))
+    if beyond:
+        most = of_leader + F.least(F.col("a_n") - F.col("a_both"), F.col("b_n") - F.col("b_both"))
+        return (pairs.where(~enough(of_leader) & enough(most)).groupBy(*ends, "a_n", "b_n", of_leader.alias("of_leader"))
+                .agg(F.count("*").alias("matches")).where(enough(F.col("of_leader") + F.col("matches"))).select("a", "b"))
+    hopeless = (F.col("a_leader") == F.col("b_leader")) & ~enough(of_leader)
+    return (pairs.where(~F.coalesce(hopeless, F.lit(False)))
+            .groupBy(*ends, F.least("a_need", "b_need").alias("need")).agg(F.count("*").alias("matches"))
+            .where("matches >= need").select("a", "b"))
 
 
 def jaccard_components(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3,
@@ -203,39 +250,38 @@ def jaccard_components(documents: DataFrame, id_col: str = "doc_id", text_col: s
         _prefixes(shingle_words, percent, counts), "token long, node long, n int, need int"), "prefixes")
     shared = (prefixes.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high"))
               .where("low <> high"))
-    # Leaders are members with the least node, which is a hash.
-    postings = stored(prefixes.join(shared.select("token", F.col("low").alias("leader")), "token").distinct(), "postings")
+    postings = prefixes.join(shared.select("token"), "token", "left_semi").distinct()
+    # The share of a node's prefix that others have: near 1 in the text that copies were made from.
+    lengths = prefixes.groupBy("node").agg(F.count_distinct("token").alias("length"))
+    central = (postings.groupBy("node").agg(F.count("*").alias("held")).join(lengths, "node")
+               .select("node", F.round(F.col("held") / F.col("length"), 2).alias("share")))
+    postings = stored(postings.join(central, "node"), "postings")
     contents = documents_of.groupBy("node").agg(F.min("content").alias("content"))
 
-    sizes = postings.select(F.col("node").alias("leader"), F.col("n").alias("leader_n")).distinct()
-    to_leader = (postings.where("node <> leader").groupBy("node", "n", "leader").agg(F.count("*").alias("matches"))
-                 .join(sizes, "leader").where(_near("n", "leader_n", percent)))
+    leaders = postings.groupBy("token").agg(F.max(F.struct("share", "node", "n")).alias("leader"))
+    to_leader = (postings.join(leaders, "token").select("node", "n", F.col("leader.node").alias("leader"), F.col("leader.n").alias("leader_n"))
+                 .where("node <> leader").where(_near("n", "leader_n", percent))
+                 .groupBy("node", "leader").agg(F.count("*").alias("matches")))
     stars = to_leader.groupBy("node").agg(F.max(F.struct("matches", "leader"))["leader"].alias("leader"))
     stars = stored(stars.select(F.col("node").alias("a"), F.col("leader").alias("b")), "stars")
-    star_links = stored(_links(stars, read, contents, shingle_words, percent), "star-links")
+    compared = stored(_comparisons(stars, read, contents, shingle_words), "compared")
+    star_links = compared.where(_reaches(percent, F.col("both"), F.col("a_n"), F.col("b_n"))).select("a", "b")
     groups = components(star_links)
 
-    placed = postings.drop("leader").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    placed = stored(placed, "placed")
-    # Per token: how many members each group has there; the rest is held against all members.
-    by_group = placed.groupBy("token", "component").agg(F.count("*").alias("members"))
-    largest = (by_group.groupBy("token").agg(F.max(F.struct("members", "component"))["component"].alias("largest"), F.count("*").alias("groups"))
-               .where("groups > 1").select("token", "largest"))
-    mixed = placed.join(largest, "token")
-    outside = mixed.where("component <> largest").select(
-        "token", F.col("node").alias("a"), F.col("n").alias("a_n"), F.col("need").alias("a_need"), F.col("component").alias("a_component"))
-    inside = mixed.select("token", F.col("node").alias("b"), F.col("n").alias("b_n"), F.col("need").alias("b_need"),
-                          F.col("component").alias("b_component"), (F.col("component") == F.col("largest")).alias("b_largest"))
-    across = (outside.join(inside, "token")
-              .where("a_component <> b_component").where(F.col("b_largest") | (F.col("a") < F.col("b")))
-              .where(_near("a_n", "b_n", percent))
-              .groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.least("a_need", "b_need").alias("need"))
-              .agg(F.count("*").alias("matches")).where("matches >= need"))
-    across = stored(across.select("a", "b"), "across")
+    follows = compared.where(100 * F.col("both") >= FOLLOW_PERCENT * (F.col("a_n") + F.col("b_n") - F.col("both")))
+    place = lambda rows: (rows.join(groups, "node", "left")
+                          .withColumn("component", F.coalesce("component", "node")))
+    placed = stored(place(postings.drop("share").join(
+        follows.select(F.col("a").alias("node"), F.col("b").alias("leader"), "both"), "node", "left")), "placed")
+    beyond = place(follows.select(F.col("a").alias("node"), F.col("b").alias("leader"), F.col("a_n").alias("n"), "both",
+                                  F.lit(1).alias("need"), F.explode("beyond").alias("token")))
+    across = _across(placed, ["token"], percent, beyond=False).unionByName(
+        _across(stored(beyond, "beyond").withColumn("by", F.col("leader")), ["by", "token"], percent, beyond=True)).distinct()
+    across = stored(across, "across")
     links = star_links
     if not across.isEmpty():
-        links = links.unionByName(_links(across, read, contents, shingle_words, percent))
-        groups = components(links)
+        found = _comparisons(across, read, contents, shingle_words).where(_reaches(percent, F.col("both"), F.col("a_n"), F.col("b_n")))
+        groups = components(stored(links.unionByName(found.select("a", "b")), "links"))
 
     grouped = documents_of.join(groups, "node", "left").withColumn("group", F.coalesce("component", "node"))
     least = grouped.where("group is not null").groupBy("group").agg(F.min("id").alias("least"))
@@ -244,11 +290,6 @@ def jaccard_components(documents: DataFrame, id_col: str = "doc_id", text_col: s
         F.when(F.col("group").isNull(), F.col("id")).otherwise(F.col("least")).alias("component_id"))
 
 
-def _near(x: str, y: str, percent: int) -> Column:
-    """Whether two set sizes allow the threshold."""
-    return 100 * F.least(x, y) >= percent * F.greatest(x, y)
-
-
 def near_copies_removed(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5,
                         percent: int = 80) -> DataFrame:
     """One document of each group: the one with the smallest id, once; all columns kept. Texts without words are
