@@ -17,7 +17,8 @@ against all members. A pair inside a group would change no group.
 Of two followers z and x of one leader b, the common tokens are at most min(|z & b|, |x & b|) and those that both have
 beyond b. Where the first is too little, they are candidates only if they share a token beyond b, which is found by
 a join of what followers have beyond their leaders. So the far members of a large group are not held against all of it.
-Verification is exact, on the whole sets.
+Tokens with the same holders, as those of a common passage, are joined once. Verification is exact: on the whole sets,
+or for followers of one leader on what each has beyond it and lacks of it.
 """
 
 from __future__ import annotations
@@ -158,23 +159,26 @@ def _sets(size: int, wanted):
 
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Set sizes, common tokens and what a has beyond b, of every pair."""
+    """Set sizes, common tokens, and what a has beyond b and lacks of it, of every pair."""
     for batch in batches:
-        a_n, b_n, both, beyond = [], [], [], []
+        a_n, b_n, both, beyond, lacking = [], [], [], [], []
         for x, y in zip(batch.column(2), batch.column(3)):
             x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
             place = np.searchsorted(y, x)
             place[place == len(y)] = 0
-            rest = signed(x[y[place] != x])
-            a_n.append(len(x)), b_n.append(len(y)), both.append(len(x) - len(rest))
-            beyond.append(rest if 100 * both[-1] >= FOLLOW_PERCENT * (len(x) + len(y) - both[-1]) else rest[:0])
+            found = y[place] == x
+            a_n.append(len(x)), b_n.append(len(y)), both.append(int(found.sum()))
+            follows = 100 * both[-1] >= FOLLOW_PERCENT * (len(x) + len(y) - both[-1])
+            beyond.append(signed(x[~found]) if follows else [])
+            lacking.append(signed(np.delete(y, place[found])) if follows else [])
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(a_n, pa.int64()), pa.array(b_n, pa.int64()), pa.array(both, pa.int64()),
-             pa.array(beyond, pa.list_(pa.int64()))], names=["a", "b", "a_n", "b_n", "both", "beyond"])
+             pa.array(beyond, pa.list_(pa.int64())), pa.array(lacking, pa.list_(pa.int64()))],
+            names=["a", "b", "a_n", "b_n", "both", "beyond", "lacking"])
 
 
 def _comparisons(pairs: DataFrame, read: DataFrame, contents: DataFrame, size: int) -> DataFrame:
-    """Exact comparisons (a, b, a_n, b_n, both, beyond) of pairs of nodes."""
+    """Exact comparisons (a, b, a_n, b_n, both, beyond, lacking) of pairs of nodes."""
     nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     slots = (contents.join(nodes, "node").select(F.shiftrightunsigned("content", 64 - FILTER_BITS).alias("s"))
              .groupBy(F.shiftright("s", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(s & 63 as int)))").alias("bits")).toArrow())
@@ -186,7 +190,7 @@ def _comparisons(pairs: DataFrame, read: DataFrame, contents: DataFrame, size: i
     return (pairs.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("a_tokens")), "a")
             .join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("b_tokens")), "b")
             .select("a", "b", "a_tokens", "b_tokens")
-            .mapInArrow(_compared, "a long, b long, a_n long, b_n long, both long, beyond array<long>"))
+            .mapInArrow(_compared, "a long, b long, a_n long, b_n long, both long, beyond array<long>, lacking array<long>"))
 
 
 def _reaches(percent: int, both: Column, n: Column, m: Column) -> Column:
@@ -199,6 +203,14 @@ def _near(x: str, y: str, percent: int) -> Column:
     return 100 * F.least(x, y) >= percent * F.greatest(x, y)
 
 
+def _merged(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows (..., token, node) with one token for all that have the same several holders, and the number of these."""
+    holders = rows.groupBy(*keys).agg(F.struct(
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.min("node").alias("low"), F.max("node").alias("high")).alias("holders"))
+    kept = holders.where("holders.n > 1").groupBy(*keys[:-1], "holders").agg(F.min("token").alias("token"), F.count("*").alias("weight"))
+    return rows.join(kept.select(*keys, "weight"), keys)
+
+
 def _across(rows: DataFrame, keys: list[str], percent: int, beyond: bool) -> DataFrame:
     """Pairs of nodes in different groups that share a key: members outside the key's largest group with all members.
 
@@ -212,7 +224,7 @@ def _across(rows: DataFrame, keys: list[str], percent: int, beyond: bool) -> Dat
     mixed = rows.join(largest, keys)
     fields = ["node", "n", "need", "component", "leader", "both"]
     side = lambda name: [F.col(f).alias(f"{name}_{f}") for f in fields]
-    outside = mixed.where("component <> largest").select(*keys, *side("a"))
+    outside = mixed.where("component <> largest").select(*keys, "weight", *side("a"))
     inside = mixed.select(*keys, *side("b"), (F.col("component") == F.col("largest")).alias("b_largest"))
     pairs = (outside.join(inside, keys).where("a_component <> b_component")
              .where(F.col("b_largest") | (F.col("a_node") < F.col("b_node"))).where(_near("a_n", "b_n", percent)))
@@ -221,11 +233,11 @@ def _across(rows: DataFrame, keys: list[str], percent: int, beyond: bool) -> Dat
     enough = lambda common: _reaches(percent, common, F.col("a_n"), F.col("b_n"))
     if beyond:
         most = of_leader + F.least(F.col("a_n") - F.col("a_both"), F.col("b_n") - F.col("b_both"))
-        return (pairs.where(~enough(of_leader) & enough(most)).groupBy(*ends, "a_n", "b_n", of_leader.alias("of_leader"))
-                .agg(F.count("*").alias("matches")).where(enough(F.col("of_leader") + F.col("matches"))).select("a", "b"))
+        return (pairs.where(~enough(of_leader) & enough(most)).groupBy(*ends, (F.col("a_n") + F.col("b_n")).alias("sizes"), of_leader.alias("of_leader"))
+                .agg(F.sum("weight").alias("matches")).where(_reaches(percent, F.col("of_leader") + F.col("matches"), F.col("sizes"), F.lit(0))).select("a", "b"))
     hopeless = (F.col("a_leader") == F.col("b_leader")) & ~enough(of_leader)
     return (pairs.where(~F.coalesce(hopeless, F.lit(False)))
-            .groupBy(*ends, F.least("a_need", "b_need").alias("need")).agg(F.count("*").alias("matches"))
+            .groupBy(*ends, F.least("a_need", "b_need").alias("need")).agg(F.sum("weight").alias("matches"))
             .where("matches >= need").select("a", "b"))
 
 
@@ -273,15 +285,21 @@ def jaccard_components(documents: DataFrame, id_col: str = "doc_id", text_col: s
                           .withColumn("component", F.coalesce("component", "node")))
     placed = stored(place(postings.drop("share").join(
         follows.select(F.col("a").alias("node"), F.col("b").alias("leader"), "both"), "node", "left")), "placed")
-    beyond = place(follows.select(F.col("a").alias("node"), F.col("b").alias("leader"), F.col("a_n").alias("n"), "both",
+    beyond = place(follows.select(F.col("a").alias("node"), F.col("b").alias("leader"), F.col("b").alias("by"), F.col("a_n").alias("n"), "both",
                                   F.lit(1).alias("need"), F.explode("beyond").alias("token")))
-    across = _across(placed, ["token"], percent, beyond=False).unionByName(
-        _across(stored(beyond, "beyond").withColumn("by", F.col("leader")), ["by", "token"], percent, beyond=True)).distinct()
-    across = stored(across, "across")
-    links = star_links
+    across = stored(_across(_merged(placed, ["token"]), ["token"], percent, beyond=False).distinct(), "across")
+    of_followers = _across(_merged(stored(beyond, "beyond"), ["by", "token"]), ["by", "token"], percent, beyond=True)
+    one = lambda name: follows.select(F.col("a").alias(name), F.col("a_n").alias(f"{name}_n"), F.col("b_n").alias("leader_n"),
+                                      F.col("beyond").alias(f"{name}_beyond"), F.col("lacking").alias(f"{name}_lacking"))
+    both = (F.col("leader_n") - F.size(F.array_union("a_lacking", "b_lacking"))
+            + F.size(F.array_intersect("a_beyond", "b_beyond")))
+    links = stored(star_links.unionByName(
+        of_followers.join(one("a"), "a").join(one("b").drop("leader_n"), "b")
+        .where(_reaches(percent, both, F.col("a_n"), F.col("b_n"))).select("a", "b")), "links")
     if not across.isEmpty():
         found = _comparisons(across, read, contents, shingle_words).where(_reaches(percent, F.col("both"), F.col("a_n"), F.col("b_n")))
-        groups = components(stored(links.unionByName(found.select("a", "b")), "links"))
+        links = stored(links.unionByName(found.select("a", "b")), "links")
+    groups = components(links)
 
     grouped = documents_of.join(groups, "node", "left").withColumn("group", F.coalesce("component", "node"))
     least = grouped.where("group is not null").groupBy("group").agg(F.min("id").alias("least"))

@@ -64,6 +64,26 @@ def test_links_beyond_the_leaders(spark):
     assert got == {i: c for i, _, c in grouped(chains, 3, 90)}
 
 
+@pytest.mark.parametrize("size,percent", [(3, 90), (5, 80)])
+def test_large_family(spark, size, percent):
+    """Copies of one text with other words, cuts and passages that several of them share."""
+    import random
+    from tests.llm.conftest import words
+    r, base, common = random.Random(5), words(150, 90).split(), [words(4, 91 + k).split() for k in range(3)]
+    texts = []
+    for i in range(90):
+        w = list(base)
+        for _ in range(r.choice([0, 1, 1, 2, 3, 4, 6])):
+            w[r.randrange(len(w))] = f"other{r.randrange(40)}"
+        for passage in r.sample(common, r.choice([0, 1, 1, 2])):
+            w[r.choice([20, 60]):r.choice([20, 60])] = passage
+        texts.append((i, " ".join(w[r.choice([0, 0, 1, 5]):])))
+    frame = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    got = jaccard_components(frame, shingle_words=size, percent=percent).collect()
+    want = grouped(texts, size, percent)
+    assert len({c for _, _, c in want}) > 1 and sorted(map(tuple, got)) == sorted(want)
+
+
 @given(st.sets(st.integers(0, 30), min_size=1, max_size=20), st.sets(st.integers(0, 30), min_size=1, max_size=20), st.integers(0, 9))
 @settings(max_examples=150, deadline=None)
 def test_prefixes_of_linked_sets_share_enough(x, y, seed):
