@@ -40,7 +40,7 @@ MAX_MATCHES = 6
 SEEN_NODES = 100_000    # nodes a task remembers so as not to repeat a copy's prefix; more only cost repeats
 VERIFY_COST = 0.05      # of one shingle in a verification, against reading one posting
 FILTER_BITS = 23
-FOLLOW_PERCENT = 80     # a node less similar to its leader is compared as if it had none
+FOLLOW_MARGIN = 10      # a node that misses the threshold to its leader by more is compared as if it had none
 
 
 def _bucket(tokens: np.ndarray) -> np.ndarray:
@@ -158,26 +158,28 @@ def _sets(size: int, wanted):
     return run
 
 
-def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _compared(follow: int):
     """Set sizes, common tokens, and what a has beyond b and lacks of it, of every pair."""
-    for batch in batches:
-        a_n, b_n, both, beyond, lacking = [], [], [], [], []
-        for x, y in zip(batch.column(2), batch.column(3)):
-            x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-            place = np.searchsorted(y, x)
-            place[place == len(y)] = 0
-            found = y[place] == x
-            a_n.append(len(x)), b_n.append(len(y)), both.append(int(found.sum()))
-            follows = 100 * both[-1] >= FOLLOW_PERCENT * (len(x) + len(y) - both[-1])
-            beyond.append(signed(x[~found]) if follows else [])
-            lacking.append(signed(np.delete(y, place[found])) if follows else [])
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(a_n, pa.int64()), pa.array(b_n, pa.int64()), pa.array(both, pa.int64()),
-             pa.array(beyond, pa.list_(pa.int64())), pa.array(lacking, pa.list_(pa.int64()))],
-            names=["a", "b", "a_n", "b_n", "both", "beyond", "lacking"])
-
-
-def _comparisons(pairs: DataFrame, read: DataFrame, contents: DataFrame, size: int) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a_n, b_n, both, beyond, lacking = [], [], [], [], []
+            for x, y in zip(batch.column(2), batch.column(3)):
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                place = np.searchsorted(y, x)
+                place[place == len(y)] = 0
+                found = y[place] == x
+                a_n.append(len(x)), b_n.append(len(y)), both.append(int(found.sum()))
+                follows = 100 * both[-1] >= follow * (len(x) + len(y) - both[-1])
+                beyond.append(signed(x[~found]) if follows else [])
+                lacking.append(signed(np.delete(y, place[found])) if follows else [])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(a_n, pa.int64()), pa.array(b_n, pa.int64()), pa.array(both, pa.int64()),
+                 pa.array(beyond, pa.list_(pa.int64())), pa.array(lacking, pa.list_(pa.int64()))],
+                names=["a", "b", "a_n", "b_n", "both", "beyond", "lacking"])
+    return run
+
+
+def _comparisons(pairs: DataFrame, read: DataFrame, contents: DataFrame, size: int, percent: int) -> DataFrame:
     """Exact comparisons (a, b, a_n, b_n, both, beyond, lacking) of pairs of nodes."""
     nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     slots = (contents.join(nodes, "node").select(F.shiftrightunsigned("content", 64 - FILTER_BITS).alias("s"))
@@ -190,7 +192,7 @@ def _comparisons(pairs: DataFrame, read: DataFrame, contents: DataFrame, size: i
     return (pairs.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("a_tokens")), "a")
             .join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("b_tokens")), "b")
             .select("a", "b", "a_tokens", "b_tokens")
-            .mapInArrow(_compared, "a long, b long, a_n long, b_n long, both long, beyond array<long>, lacking array<long>"))
+            .mapInArrow(_compared(percent - FOLLOW_MARGIN), "a long, b long, a_n long, b_n long, both long, beyond array<long>, lacking array<long>"))
 
 
 def _reaches(percent: int, both: Column, n: Column, m: Column) -> Column:
@@ -276,11 +278,11 @@ def jaccard_components(documents: DataFrame, id_col: str = "doc_id", text_col: s
                  .groupBy("node", "leader").agg(F.count("*").alias("matches")))
     stars = to_leader.groupBy("node").agg(F.max(F.struct("matches", "leader"))["leader"].alias("leader"))
     stars = stored(stars.select(F.col("node").alias("a"), F.col("leader").alias("b")), "stars")
-    compared = stored(_comparisons(stars, read, contents, shingle_words), "compared")
+    compared = stored(_comparisons(stars, read, contents, shingle_words, percent), "compared")
     star_links = compared.where(_reaches(percent, F.col("both"), F.col("a_n"), F.col("b_n"))).select("a", "b")
     groups = components(star_links)
 
-    follows = compared.where(100 * F.col("both") >= FOLLOW_PERCENT * (F.col("a_n") + F.col("b_n") - F.col("both")))
+    follows = compared.where(100 * F.col("both") >= (percent - FOLLOW_MARGIN) * (F.col("a_n") + F.col("b_n") - F.col("both")))
     place = lambda rows: (rows.join(groups, "node", "left")
                           .withColumn("component", F.coalesce("component", "node")))
     placed = stored(place(postings.drop("share").join(
@@ -297,7 +299,7 @@ def jaccard_components(documents: DataFrame, id_col: str = "doc_id", text_col: s
         of_followers.join(one("a"), "a").join(one("b").drop("leader_n"), "b")
         .where(_reaches(percent, both, F.col("a_n"), F.col("b_n"))).select("a", "b")), "links")
     if not across.isEmpty():
-        found = _comparisons(across, read, contents, shingle_words).where(_reaches(percent, F.col("both"), F.col("a_n"), F.col("b_n")))
+        found = _comparisons(across, read, contents, shingle_words, percent).where(_reaches(percent, F.col("both"), F.col("a_n"), F.col("b_n")))
         links = stored(links.unionByName(found.select("a", "b")), "links")
     groups = components(links)
 
