@@ -182,7 +182,7 @@ def test_passages(documents, no_documents, texts):
     want = {texts[row][0] for rows in runs.values() if len(rows) > 1 for row in rows}
     assert set(got) == want
     assert got[1].class_id == got[2].class_id == got[3].class_id == 1 and got[4].n_copies == 2
-    assert got[8].class_id == got[9].class_id == 8 and got[8].n_passage_words == 90
+    assert got[8].class_id == got[9].class_id == 8 and got[8].n_passage_words == 89  # the last word has a full stop in one of them
     assert passage_groups(no_documents).count() == 0
 
 
