@@ -209,9 +209,10 @@ def _divided(contexts: DataFrame, slack: int) -> DataFrame:
     lowest, highest = F.lit(slack) - F.octet_length("right"), F.octet_length("left")  # bytes of strings left of the seed
     by_stratum = contexts.withColumn("stratum", F.explode(F.sequence(
         F.floor(lowest / width).cast("int"), F.floor(highest / width).cast("int"))))
-    near = F.col("stratum") * width
-    most, least = F.least(near + width - 1, highest), F.greatest(near, lowest)
-    right_shared = F.greatest(F.lit(slack) - near - (width - 1), F.lit(0))
+    first = F.col("stratum") * width
+    near = F.least(first, F.lit(slack - (width - 1)))  # the last stratum shares less, so that as much is left as of the others
+    most, least = F.least(first + width - 1, highest), F.greatest(first, lowest)
+    right_shared = F.lit(slack - (width - 1)) - near
     cut = lambda c, begin, n: F.substring(c, begin, n)
     return by_stratum.select(
         F.xxhash64("seed", "stratum", cut("left", F.octet_length("left") - near + 1, near), cut("right", F.lit(1), right_shared)).alias("seed"),

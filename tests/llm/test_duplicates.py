@@ -144,6 +144,21 @@ def test_repeated_bytes(documents, no_documents, texts, size, contexts, monkeypa
     assert suffix_dedup.repeated_bytes(no_documents).count() == 0
 
 
+@pytest.mark.parametrize("size", [400, 60])
+def test_divided_seeds_with_starts_at_every_place(spark, size, monkeypatch):
+    """Contexts of one passage that begin and end at every place, most in several texts, others at their own place."""
+    from tests.llm.conftest import words
+    monkeypatch.setattr(suffix_dedup, "GROUP_CONTEXTS", 3)
+    passage, slack = words(200, 95)[:size + size // 4], size // 4
+    rows = []
+    for i in range(0, slack + 1, max(1, slack // 20)):
+        rows += [(4 * i, words(10, 500 + i) + passage[i:] + words(10, 700 + i)), (4 * i + 1, words(9, 900 + i) + passage[i:] + words(9, 1100 + i))]
+        rows += [(4 * i + 2, words(8, 1300 + i) + passage[:size + i] + words(8, 1500 + i)), (4 * i + 3, words(8, 1700 + i) + passage[i:i + size])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = suffix_dedup.repeated_bytes(frame, min_bytes=size).collect()
+    assert sorted(map(tuple, got)) == sorted(removed(rows, size))
+
+
 def test_without_repeats_keeps_rows_and_columns(documents, texts):
     out = suffix_dedup.without_repeats(documents, min_bytes=100)
     assert out.columns == documents.columns
