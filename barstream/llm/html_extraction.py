@@ -24,7 +24,7 @@ from barstream.llm.token_counts import slice_texts
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|textarea|title|iframe|svg|select)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"|<(script|style|textarea|title)(?=[\s/>])[^>]*>.*?(?:</\1(?=[\s/>])[^>]*>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|<[!?][^>]*>", re.S | re.I)
 _ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
@@ -35,6 +35,7 @@ _BLOCKS = frozenset("""address article aside blockquote body caption center dd d
 figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section summary table
 tbody td tfoot th thead tr ul""".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+_SKIPPED = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in "noscript template iframe svg select".split()}  # with what they hold, if closed
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 
 #: What elements and names say about the text in them.
@@ -87,6 +88,7 @@ def blocks_of(page: str) -> list[Block]:
     # Open elements: tag, number, good, bad, inside an article, inside a link
     stack: list[tuple[str, int, bool, bool, bool, bool]] = [("", 0, False, False, False, False)]
     number, at, current = 0, 0, None
+    unclosed: set[str] = set()
 
     def add(text: str):
         nonlocal current
@@ -108,7 +110,7 @@ def blocks_of(page: str) -> list[Block]:
             current = None
         del stack[index:]
 
-    for match in _TOKEN.finditer(page):
+    while match := _TOKEN.search(page, at):
         if match.start() > at:
             add(page[at:match.start()])
         at = match.end()
@@ -124,6 +126,13 @@ def blocks_of(page: str) -> list[Block]:
                 if tag in _BLOCKS:
                     current = None
             continue
+        if tag in _SKIPPED:
+            if tag not in unclosed and not (tag == "svg" and match[4].endswith("/")):
+                if end := _SKIPPED[tag].search(page, at):
+                    at = end.end()
+                else:
+                    unclosed.add(tag)
+            continue
         if tag in _BLOCKS:
             closed = _CLOSES.get(tag, set()) | {"p"}
             for i in range(len(stack) - 1, 0, -1):

@@ -119,6 +119,16 @@ def test_main_text():
     assert main_text("<div>" * 3000 + "<p>deep and long enough to count as text, so it stays.</p>").startswith("deep")
 
 
+def test_elements_end_where_they_are_closed():
+    long = "This paragraph is long enough to be text, and it has to stay."
+    page = "<article><h1>Title</h1><svg class='icon' aria-hidden='true' />{}<p>" + long + "</p></article>"
+    for between in ("", "<svg/>", "<title-bar></title-bar>", "<select-box>", "<svg viewBox='0 0 9 9'><path d='M0'/><text>no</text></svg>", "<iframe src=x>",
+                    "<script>var a = '<p>no';</script >", "<template><p>no</p></template>", "<svg><title>no</title></svg>", "<STYLE>no</style>"):
+        assert main_text(page.format(between)) == "Title\n" + long
+    assert main_text(page.format("<p>" + long + "</p><svg></svg>")) == "Title\n" + long + "\n" + long
+    assert main_text(page.format("<script>never closed")) == "Title"
+
+
 def test_extract_rows(spark):
     rows = [(1, "u", PAGE, "x"), (1, "u", PAGE, "x"), (None, None, None, None), (2, "v", "", "y")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
