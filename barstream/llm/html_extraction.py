@@ -48,6 +48,16 @@ alert popup modal overlay newsletter subscribe subscription signup login comment
 sharing social related recommended recommendations more widget pagination pager search form copyright legal disclaimer skip hidden tags
 outbrain taboola teaser paywall""".split())
 _GOOD_NAMES = frozenset("article content post entry story main text body prose".split())
+_LAYOUT_NAMES = frozenset("has with without no overflow".split())  # names like has-sidebar tell of the layout, not of the text
+_FIRM_ELEMENTS = frozenset("nav footer aside dialog".split())      # hold no article, whatever is in them
+
+_CERTAIN = 14.0    # cost of a bad hint on a block's nearest named element
+_FIRM = 8.0        # of one on a named element above that: this much or less, by its distance
+_WEAK = 3.5
+_MOST = 8.0        # of all such hints together
+_REMEMBERED = 16   # bad elements around a block; farther ones cost next to nothing
+_LONG_WORDS = 20   # of a long paragraph
+_LONG_BLOCKS = 2   # after an h1 show that an element holds the article
 
 _SCALE = 1000
 
@@ -58,35 +68,87 @@ class Block:
     parent: int
     above: int
     good: bool
-    bad: bool
+    hidden: bool
     inside: bool                       # of an article or main element
+    depth: int                         # named elements around it
+    hints: tuple[tuple[int, int, bool], ...]  # bad elements around it, outer ones first: number, depth, firm
+    bad: bool = False                  # for certain
+    doubt: float = 0.0                 # cost of bad hints farther away
     pieces: list[str] = field(default_factory=list)
     linked: int = 0
     text: str = ""
 
 
-def _hints(tag: str, attributes: str) -> tuple[bool, bool]:
-    good, bad = tag in _GOOD_ELEMENTS, tag in _BAD_ELEMENTS
+@dataclass(slots=True)
+class Hints:
+    good: bool = False
+    bad: bool = False
+    hidden: bool = False
+    named: bool = False
+    article: bool = False
+    main: bool = False
+
+
+def _hints(tag: str, attributes: str) -> Hints:
+    hints = Hints(tag in _GOOD_ELEMENTS, tag in _BAD_ELEMENTS, False, False, tag in _GOOD_ELEMENTS, tag == "main")
     for match in _ATTRIBUTE.finditer(attributes):
         name, value = match[1].lower(), match[2] or match[3] or match[4] or ""
         if name == "role":
-            good, bad = good or value.lower() in ("main", "article"), bad or value.lower() in _BAD_ROLES
+            role = value.lower()
+            hints.main, hints.article = hints.main or role == "main", hints.article or role in ("main", "article")
+            hints.good, hints.bad = hints.good or hints.article, hints.bad or role in _BAD_ROLES
         elif name in ("class", "id"):
-            words = {w.lower() for w in _NAME.findall(value)}
-            bad = bad or not words.isdisjoint(_BAD_NAMES)
-            good = good or not words.isdisjoint(_GOOD_NAMES)
+            for part in value.split():
+                words = {w.lower() for w in _NAME.findall(part)}
+                hints.bad = hints.bad or words.isdisjoint(_LAYOUT_NAMES) and not words.isdisjoint(_BAD_NAMES)
+                hints.good = hints.good or not words.isdisjoint(_GOOD_NAMES)
+            hints.named = hints.named or tag in _BLOCKS and bool(value.strip())
         elif name == "style":
-            bad = bad or bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I))
+            hints.hidden = hints.hidden or bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I))
         else:
-            bad = bad or name == "hidden" or value.lower() == "true"
-    return good and not bad, bad
+            hints.hidden = hints.hidden or name == "hidden" or value.lower() == "true"
+    hints.named = hints.named or hints.good or hints.bad
+    hints.good = hints.good and not hints.bad
+    return hints
+
+
+def _weigh_hints(blocks: list[Block]) -> None:
+    """What the bad elements around each block cost it. Elements that hold the article are not bad: those with an h1 and
+    long paragraphs after it that no other bad element below them holds. Firm ones stay bad."""
+    held: dict[int, list[Block]] = {}
+    for block in blocks:
+        for number, _, firm in block.hints:
+            if not firm:
+                held.setdefault(number, []).append(block)
+    cancelled: set[int] = set()
+    for number in sorted(held, reverse=True):  # elements below others come first
+        titled, found = False, 0
+        for block in held[number]:
+            if any(other > number and other not in cancelled for other, _, _ in block.hints):
+                continue
+            if block.tag == "h1":
+                titled = True
+            elif titled and block.text.count(" ") + 1 >= _LONG_WORDS and block.linked <= 0.3 * len(block.text):
+                found += 1
+        if found >= _LONG_BLOCKS:
+            cancelled.add(number)
+    for block in blocks:
+        block.bad = block.hidden
+        for number, depth, firm in block.hints:
+            if number in cancelled:
+                continue
+            if depth == block.depth:
+                block.bad = True
+            else:
+                block.doubt += (_FIRM * 0.9 ** (block.depth - depth - 1)) if firm else (_WEAK * 0.5 ** (block.depth - depth - 1))
+        block.doubt = min(block.doubt, _MOST)
 
 
 def blocks_of(page: str) -> list[Block]:
     """The page's blocks with text, in order."""
     blocks: list[Block] = []
-    # Open elements: tag, number, good, bad, inside an article, inside a link
-    stack: list[tuple[str, int, bool, bool, bool, bool]] = [("", 0, False, False, False, False)]
+    # Open elements: tag, number, good, hidden, inside an article, inside a link, named elements so far, bad elements
+    stack: list[tuple[str, int, bool, bool, bool, bool, int, tuple]] = [("", 0, False, False, False, False, 0, ())]
     number, at, current = 0, 0, None
     unclosed: set[str] = set()
 
@@ -97,8 +159,8 @@ def blocks_of(page: str) -> list[Block]:
                 return
             holders = [e for e in stack[-12:] if e[0] in _BLOCKS] or [stack[0]]
             above = holders[-2][1] if len(holders) > 1 else 0
-            _, _, good, bad, inside, _ = stack[-1]
-            current = Block(holders[-1][0], above, holders[-3][1] if len(holders) > 2 else 0, good, bad, inside)
+            _, _, good, hidden, inside, _, depth, around = stack[-1]
+            current = Block(holders[-1][0], above, holders[-3][1] if len(holders) > 2 else 0, good, hidden, inside, depth, around)
             blocks.append(current)
         current.pieces.append(text)
         if stack[-1][5]:
@@ -147,18 +209,25 @@ def blocks_of(page: str) -> list[Block]:
                 current.pieces.append(" ")
             continue
         number += 1
-        good, bad = _hints(tag, match[4])
-        _, _, was_good, was_bad, inside, link = stack[-1]
+        hints = _hints(tag, match[4])
+        _, _, good, hidden, inside, link, depth, around = stack[-1]
         if tag == "header" and not inside:
-            bad = True
+            hints.bad = hints.named = True
         if tag != "body" and tag != "html":
-            was_good, was_bad = was_good or good, was_bad or bad
-        stack.append((tag, number, was_good, was_bad, inside or tag in _GOOD_ELEMENTS, link or tag == "a"))
+            good, hidden, depth = good or hints.good, hidden or hints.hidden, depth + hints.named
+            if hints.article:  # in it, only what is nearer counts
+                around = tuple(h for h in around if h[2] and not hints.main)
+            if hints.bad:
+                around = (*around, (number, depth, tag in _FIRM_ELEMENTS))[-_REMEMBERED:]
+            inside = inside or hints.article and not any(h[2] for h in around)
+        stack.append((tag, number, good, hidden, inside, link or tag == "a", depth, around))
     if at < len(page):
         add(page[at:])
     for block in blocks:
         block.text = _SPACE.sub(" ", html.unescape("".join(block.pieces))).strip()
-    return [b for b in blocks if b.text]
+    blocks = [b for b in blocks if b.text]
+    _weigh_hints(blocks)
+    return blocks
 
 
 def content_score(block: Block) -> float:
@@ -177,9 +246,7 @@ def content_score(block: Block) -> float:
         score += 5.0
     elif block.good:
         score += 2.5
-    if block.bad:
-        score -= 14.0
-    return score
+    return score - (_CERTAIN if block.bad else block.doubt)
 
 
 def minimum_cut(scores: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
@@ -248,8 +315,8 @@ def main_text(page: str) -> str:
     scores = [content_score(b) for b in blocks]
     edges, last_below, last_above = [], {}, {}
     for i, block in enumerate(blocks):
-        if i and blocks[i - 1].bad == block.bad:
-            edges.append((i - 1, i, 0.5))
+        if i:
+            edges.append((i - 1, i, 0.5 if blocks[i - 1].bad == block.bad else 0.15))
         for last, key, weight in ((last_below, (block.parent, block.bad), 0.8), (last_above, (block.above, block.bad), 0.3)):
             if key in last:
                 edges.append((last[key], i, weight))

@@ -119,6 +119,25 @@ def test_main_text():
     assert main_text("<div>" * 3000 + "<p>deep and long enough to count as text, so it stays.</p>").startswith("deep")
 
 
+@pytest.mark.parametrize("wrap", [
+    '<div class="layout has-sidebar">{}</div>', '<div class="overflow-hidden">{}</div>', '<form id="page">{}</form>',
+    '<div class="more"><div class="row">{}</div></div>', '<form class="search"><div class="sidebar"><div>{}</div></div></form>'])
+@pytest.mark.parametrize("holder", ["<article>{}</article>", "<main>{}</main>", '<div role="main">{}</div>', "<div>{}</div>"])
+def test_a_name_far_above_does_not_remove_the_article(wrap, holder):
+    paragraphs = [" ".join(f"word{i}" for i in range(30)) + f" number {k}." for k in range(3)]
+    article = "<h1>Title</h1>" + "".join(f"<p>{p}</p>" for p in paragraphs)
+    around = ('<ul class="menu"><li><a href="/">Home</a></ul>{}<aside class="related"><div class="x"><p>Other things to read, with many words in it, '
+              'really.</p></div></aside><section class="comments"><p>I liked it, thank you for all this work you put in.</p></section>')
+    assert main_text("<body>" + wrap.format(around.format(holder.format(article)))) == "\n".join(["Title", *paragraphs])
+
+
+def test_nearest_names_count_and_firm_elements_stay():
+    long = " ".join(f"word{i}" for i in range(30)) + "."
+    assert main_text(f"<article><p>{long}</p><div class='ad'><p>{long}</p></div></article><footer><div class='x'><p>{long}</p></div></footer>") == long
+    assert main_text(f"<div style='display:none'><article><h1>No</h1><p>{long}</p><p>{long}</p></article></div>") == ""
+    assert main_text(f"<aside><article class='card'><h1>No</h1><p>{long}</p><p>{long}</p></article></aside>") == ""
+
+
 def test_elements_end_where_they_are_closed():
     long = "This paragraph is long enough to be text, and it has to stay."
     page = "<article><h1>Title</h1><svg class='icon' aria-hidden='true' />{}<p>" + long + "</p></article>"
