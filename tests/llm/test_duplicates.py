@@ -210,6 +210,50 @@ def test_passages_that_differ_in_places(spark):
     assert rows and all(r.similarity >= 0.8 for r in rows)
 
 
+def passage_classes(texts):
+    """Class of every text with a passage, by comparing all pairs with the settings of the query."""
+    from barstream.llm import passages as p
+    from barstream.llm.hashing import NOT_SPACE, Words
+    raw = [t.encode() for _, t in texts]
+    sequences, begins = p._shingles(Words(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]), NOT_SPACE))
+    parts = [sequences[a:b - 1] for a, b in zip(begins[:-1], begins[1:])]
+    windows = [[compact_windows(x, f, p.LENGTH) for f in range(p.HASHES)] for x in parts]
+    group, linked, spans = list(range(len(texts))), set(), defaultdict(set)
+    for i in range(len(texts)):
+        for j in range(i):
+            for a, b, c, d, _ in p.passages_of(parts[i], parts[j], windows[i], windows[j], p.LENGTH, p.ENOUGH, p.PERCENT):
+                linked |= {i, j}
+                spans[i] |= set(range(a, b))
+                spans[j] |= set(range(c, d))
+                old, new = group[i], group[j]
+                group = [new if g == old else g for g in group]
+    least = {g: min(texts[i][0] for i, h in enumerate(group) if h == g) for g in set(group)}
+    return {texts[i][0]: least[group[i]] for i in linked}, {texts[i][0]: spans[i] for i in linked}
+
+
+def test_passages_of_families_are_those_of_all_pairs(spark):
+    """Variants of a passage that are too far from each other, and many passages that pairs of texts have in common."""
+    import random
+    from tests.llm.conftest import words
+    r, base, texts = random.Random(3), words(60, 200).split(), []
+    for i in range(100):
+        w = list(base)
+        if i:
+            w[19 + i % 21] = f"other{i}"
+        texts.append((i, " ".join([words(50, 300 + i), *w, words(50, 500 + i)])))
+    common = [words(60, 700 + k) for k in range(25)]
+    for i in range(60):
+        mine = r.sample(common, 2)
+        texts.append((1000 + i, " ".join([words(20, 800 + i), mine[0], words(30, 900 + i), mine[1], words(20, 1000 + i)])))
+    frame = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    classes, spans = passage_classes(texts)
+    got = passage_groups(frame).collect()
+    assert {r.doc_id: r.class_id for r in got} == classes
+    for row in got:  # every passage is in what was found, but for some words at its ends
+        found = {w for begin, end in row.passages for w in range(begin, end)}
+        assert len(spans[row.doc_id] - found) <= 10
+
+
 ITEMS = [(1, "Alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu"), (2, "short item"), (3, None), (4, "..."),
          (5, "beta gamma delta epsilon zeta eta theta iota kappa lambda"), (None, "nameless item of three"), (10, "Über 日本 text")]
 HITS = [(1, "x alpha, BETA gamma delta epsilon zeta eta theta iota kappa lambda y"), (2, "a short-item here and a short item"), (3, None), (4, ""),
