@@ -174,7 +174,7 @@ def contamination(documents: DataFrame, items: DataFrame, id_col: str = "doc_id"
 
 
 def decontaminate(documents: DataFrame, items: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """Rows of ``documents`` none of whose words is hit, all columns kept; a row with a null id is judged too."""
-    hit = contamination(documents, items, id_col, **options).where("n_hit > 0").select(
-        F.col(id_col).alias("_hit_id")).distinct()
-    return documents.join(hit, documents[id_col].eqNullSafe(F.col("_hit_id")), "left_anti")
+    """Rows of ``documents`` none of whose words is hit, all columns kept; rows are judged one by one, whatever their ids."""
+    numbered = stored(documents.withColumn("_row", F.monotonically_increasing_id()), "numbered-documents")
+    hit = contamination(numbered, items, "_row", **options).where("n_hit > 0").select("_row")
+    return numbered.join(hit, "_row", "left_anti").select(*documents.columns)

@@ -312,9 +312,10 @@ def jaccard_components(documents: DataFrame, id_col: str = "doc_id", text_col: s
 
 def near_copies_removed(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5,
                         percent: int = 80) -> DataFrame:
-    """One document of each group: the one with the smallest id, once; all columns kept. Texts without words are
-    in no group and stay, as do rows with a null id."""
-    kept = (jaccard_components(documents, id_col, text_col, shingle_words, percent)
-            .where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("_kept")).distinct())
-    once = documents.where(F.col(id_col).isNotNull()).join(kept, F.col(id_col) == F.col("_kept"), "left_semi").dropDuplicates([id_col])
-    return once.unionByName(documents.where(F.col(id_col).isNull()))
+    """One row of each group: the one with the smallest id, nulls last, and of equal ids the first; all columns kept. Texts
+    without words are in no group and stay."""
+    numbered = stored(documents.withColumn("_row", F.monotonically_increasing_id()), "numbered-documents")
+    groups = stored(jaccard_components(numbered, "_row", text_col, shingle_words, percent).select("_row", "component_id")
+                    .join(numbered.select("_row", F.col(id_col).alias("_id")), "_row"), "row-groups")
+    kept = groups.groupBy("component_id").agg(F.min(F.struct(F.col("_id").isNull(), "_id", "_row"))["_row"].alias("_row"))
+    return numbered.join(kept.select("_row"), "_row", "left_semi").select(*documents.columns)

@@ -104,6 +104,18 @@ def test_near_copies_removed(documents, texts):
     assert sorted(i for i in got if i is not None) == sorted(want) and got.count(None) == 1
 
 
+def test_rows_are_removed_one_by_one(spark):
+    from tests.llm.conftest import words
+    near, other, hit = words(60, 1), words(60, 2), words(30, 3)
+    rows = [(None, near), (None, near), (1, other), (2, other), (2, near), (None, ""), (None, "")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = near_copies_removed(frame).collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, [(1, other), (2, near), (None, ""), (None, "")]))
+    rows = [(1, hit), (1, near), (None, hit), (None, other)]
+    clean = decontaminate(spark.createDataFrame(rows, frame.schema), spark.createDataFrame([(9, hit)], "item_id long, text string"))
+    assert sorted(map(repr, map(tuple, clean.collect()))) == sorted(map(repr, [rows[1], rows[3]]))
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(60)] + [(200, k) for k in range(201, 260)] + [(5, 5), (300, None), (400, 401), (401, 400)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
