@@ -104,7 +104,47 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, bad
 FROM (SELECT *, n_words < {quality_rules.MIN_WORDS} OR 100 * n_repeat_words > {quality_rules.MAX_REPEATED_PERCENT} * n_words AS bad FROM m)
 """
 
+_FINITE = "embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+OP11 = f"""
+WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings WHERE {_FINITE} AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v) AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0)
+SELECT * FROM (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM s) WHERE rank <= 20
+"""
+
+OP12 = rf"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i
+    FROM w CROSS JOIN (SELECT unnest(range(1, 6)) AS k) WHERE len(w) >= k)),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 100),
+n AS (SELECT lang, sum(len(w)) AS n FROM w GROUP BY 1),
+cuts AS (SELECT lang, k, phrase, f, unnest(range(1, k)) AS cut, string_split(phrase, ' ') AS w FROM f WHERE k >= 2),
+scored AS (SELECT c.lang, c.phrase, c.f AS a, l.f AS l, r.f AS r, n.n, c.cut,
+        ((1000::HUGEINT * c.f * n.n::HUGEINT) // (l.f::HUGEINT * r.f)) AS score
+    FROM cuts c JOIN n USING (lang) JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:c.cut], ' ')
+    JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[c.cut + 1:], ' ')),
+weakest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+kept AS (SELECT * FROM weakest s WHERE NOT EXISTS (SELECT 1 FROM f b WHERE b.lang = s.lang AND b.f >= s.a AND length(b.phrase) > length(s.phrase)
+    AND contains(' ' || b.phrase || ' ', ' ' || s.phrase || ' ')))
+SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score FROM (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept) WHERE rank <= 2000
+"""
+
+OP13 = f"""
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings WHERE label IS NOT NULL AND {_FINITE}),
+s AS (SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id, list_inner_product(a.v, b.v)::BIGINT AS score
+    FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER w AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 5
+"""
+
 ORACLE = {
     "op1_chat_formatting": OP1, "op3_jaccard_join": OP3, "op7_benchmark_decontamination": OP7,
     "op8_suffix_array_dedup": OP8, "op10_quality_rules": OP10,
+    "op11_nearest_neighbours": OP11, "op12_phrase_collocations": OP12, "op13_hard_negatives": OP13,
 }

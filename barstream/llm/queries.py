@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barstream.llm.collocations import collocations
 from barstream.llm.decontamination import contamination
+from barstream.llm.hard_negatives import hard_negatives, scaled
 from barstream.llm.html_extraction import extract
 from barstream.llm.jaccard_join import jaccard_components
+from barstream.llm.one_bit_codes import nearest
 from barstream.llm.oracle import ORACLE  # noqa: F401
 from barstream.llm.packing import pack
 from barstream.llm.passages import passage_groups
@@ -17,6 +20,7 @@ from barstream.llm.quality_rules import quality_rules
 from barstream.llm.suffix_dedup import repeated_bytes
 from barstream.llm.tables import read_table
 from barstream.llm.token_counts import token_counts
+from barstream.llm.vectors import finite
 
 
 def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,7 +72,23 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op11_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(read_table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "embeddings").where(finite(F.col("embedding")))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = rows.select(F.col("vec_id").alias("id"), label.alias("label"), scaled(F.col("embedding")).alias("vector"))
+    return hard_negatives(rows, F.col("id") % 100 == 0)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_chat_formatting, op2_quality_classifier, op3_jaccard_join, op4_substring_dedup, op5_token_counts, op6_packing, op7_benchmark_decontamination,
-    op8_suffix_array_dedup, op9_html_extraction, op10_quality_rules)}
+    op8_suffix_array_dedup, op9_html_extraction, op10_quality_rules, op11_nearest_neighbours, op12_phrase_collocations,
+    op13_hard_negatives)}
 
