@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 from concurrent.futures import ThreadPoolExecutor
 from time import perf_counter
 
@@ -10,7 +11,7 @@ from pyspark import inheritable_thread_target
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barstream import schemas as S
@@ -40,10 +41,13 @@ def assemble(df: DataFrame, columns: list[str], output: str = "features",
     return VectorAssembler(inputCols=columns, outputCol=output, handleInvalid=missing).transform(df)
 
 
-def _draw(seed: int):
-    """Number in [0, 1) fixed by the row key, so a task that is run again agrees."""
-    bits = F.pmod(F.xxhash64("symbol", "timestamp", F.lit(seed)), F.lit(1 << 40))
-    return bits / F.lit(float(1 << 40))
+def _drawn(share: float, seed: int) -> Column:
+    """Whether a row is in a random share, fixed by its key's text: the md5 of "symbol|time|seed" against the share, as
+    hexadecimal texts of 13 digits, so any engine draws the same rows."""
+    if share >= 1.0:
+        return F.lit(True)
+    key = F.concat_ws("|", F.coalesce(F.col("symbol"), F.lit("")), F.coalesce(F.col("timestamp").cast("string"), F.lit("")), F.lit(str(seed)))
+    return F.substring(F.md5(key), 1, 13) < F.lit(f"{max(int(share * 16 ** 13), 0):013x}")
 
 
 def random_split(df: DataFrame, share: float = S.TRAIN_SHARE, seed: int = 42
@@ -53,11 +57,11 @@ def random_split(df: DataFrame, share: float = S.TRAIN_SHARE, seed: int = 42
     The draw ignores time, so neighbours of a test row can be in training;
     ``time_split`` is the default elsewhere.
     """
-    return df.filter(_draw(seed) < share), df.filter(_draw(seed) >= share)
+    return df.filter(_drawn(share, seed)), df.filter(~_drawn(share, seed))
 
 
 def sample_train(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
-    return df if fraction >= 1.0 else df.filter(_draw(seed + 1) < fraction)
+    return df if fraction >= 1.0 else df.filter(_drawn(fraction, seed + 1))
 
 
 def fit_lasso(train: DataFrame, price: bool = False, **overrides) -> LinearRegressionModel:
@@ -69,6 +73,32 @@ def fit_lasso(train: DataFrame, price: bool = False, **overrides) -> LinearRegre
     return estimator.fit(assemble(train, columns).select("features", estimator.getLabelCol()))
 
 
+def lasso_certificate(train: DataFrame, model: LinearRegressionModel, columns: list[str], target: str) -> DataFrame:
+    """(feature, weight, mean, covariance with the target, gap): how far a fitted L1 regression is from optimal.
+
+    One aggregation gives means and all covariances; from these follows the gradient of the squared error. With
+    penalty p (``regParam`` times the feature's deviation) the optimum has gradient p against the sign of a
+    weight, and at most p where the weight is zero. ``gap`` is the distance from that, as a share of the largest
+    gradient that all-zero weights have (features in units of their deviations).
+    """
+    names = [*columns, target]
+    whole = train.select(*[F.col(c).cast("double").alias(c) for c in names]).dropna()
+    pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
+    row = whole.agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(f"mean_{c}") for c in names],
+                    *[F.covar_pop(a, b).alias(f"{a}|{b}") for a, b in pairs]).first()
+    covariance = {**{(a, b): row[f"{a}|{b}"] for a, b in pairs}, **{(b, a): row[f"{a}|{b}"] for a, b in pairs}}
+    weights, unbiased = dict(zip(columns, map(float, model.coefficients))), row["n"] / max(row["n"] - 1, 1)
+    deviation = {c: (covariance[c, c] * unbiased) ** 0.5 or 1.0 for c in columns}
+    steepest = max(abs(covariance[c, target]) / deviation[c] for c in columns) or 1.0
+    out = []
+    for c in columns:
+        pull = (covariance[c, target] - sum(w * covariance[c, other] for other, w in weights.items())) / deviation[c]
+        penalty = model.getRegParam()
+        away = abs(pull - math.copysign(penalty, weights[c])) if weights[c] else max(abs(pull) - penalty, 0.0)
+        out.append((c, weights[c], row[f"mean_{c}"], covariance[c, target], away / steepest))
+    return train.sparkSession.createDataFrame(out, "feature string, weight double, mean double, covariance double, gap double")
+
+
 def class_weights(train: DataFrame, label: str = "Target_Direction") -> DataFrame:
     """Weight the rarer class up to the size of the other."""
     n = train.agg(F.count_if(F.col(label) == 1.0), F.count_if(F.col(label) == 0.0)).first()

@@ -13,14 +13,14 @@ import json
 from collections.abc import Iterator
 from functools import reduce
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barstream import schemas as S
 from barstream.functions.text import trade_line
-from barstream.operators.series import SeriesLayout, measure_series, time_bucket
+from barstream.operators.series import SeriesLayout, measure_series, prefix_sums, time_bucket
 from barstream.params import JobParams
 from barstream.storage import cut_lineage, scratch_path
 
@@ -32,14 +32,18 @@ LEDGER_FIELDS = [
     T.StructField("shares_held", T.LongType()),
     T.StructField("cash", T.DoubleType()),
     T.StructField("portfolio_value", T.DoubleType()),
+    T.StructField("ledger_row", T.LongType()),
+    T.StructField("positions", T.MapType(T.StringType(), T.LongType())),
 ]
+# Of a row that cannot trade.
+IDLE_ROW = (S.TRADE_NONE, 0, None, None, None, None, None)
 
 
 class Account:
     """Cash, open positions and last prices of one account."""
 
-    def __init__(self, cash: float, positions: dict | None = None, prices: dict | None = None):
-        self.cash, self.positions, self.prices = cash, positions or {}, prices or {}
+    def __init__(self, cash: float, positions: dict | None = None, prices: dict | None = None, rows: int = 0):
+        self.cash, self.positions, self.prices, self.rows = cash, positions or {}, prices or {}, rows
 
     @classmethod
     def loads(cls, text: str) -> "Account":
@@ -48,7 +52,7 @@ class Account:
     def dumps(self) -> str:
         # Only the prices of open positions can matter later.
         kept = {s: self.prices[s] for s in self.positions}
-        return json.dumps([self.cash, self.positions, kept])
+        return json.dumps([self.cash, self.positions, kept, self.rows])
 
     def _order_size(self, price: float, params: JobParams) -> int:
         if params.position_sizing == "percentage":
@@ -57,7 +61,10 @@ class Account:
 
     def trade(self, symbols: list, prices: list, signals: list, params: JobParams) -> list[tuple]:
         """Work one batch in order.  All prices of the batch are known first, so the
-        account's value is the same before and after each trade of the batch."""
+        account's value is the same before and after each trade of the batch.
+
+        Rows are numbered within the account; the last one of the batch carries all open positions.
+        """
         self.prices.update(zip(symbols, prices))
         value = self.cash + sum(n * self.prices[s] for s, n in self.positions.items())
         out = []
@@ -78,98 +85,77 @@ class Account:
                     self.positions[symbol] = held
                 elif traded:
                     self.positions.pop(symbol, None)
-            out.append((note, traded, held, self.cash, value))
+            self.rows += 1
+            out.append((note, traded, held, self.cash, value, self.rows, None))
+        if out:
+            out[-1] = (*out[-1][:-1], dict(self.positions))
         return out
 
 
-def _times(pdf: pd.DataFrame) -> pd.Series:
-    """Times as integers; missing ones are equal to each other."""
-    return pd.to_datetime(pdf["timestamp"]).astype("int64")
+_RESULT = T.StructType([*LEDGER_FIELDS, T.StructField("state_after", T.StringType())])
 
 
 def _ledger_batches(params: JobParams, keep_state: bool):
-    """Batch function over rows sorted by account, time and symbol.
+    """Rows sorted by account, time and symbol: account, symbol, time, price, signal and, where a slice begins, the
+    account's state. One result a row, in the same order.
 
-    A batch of one account may straddle two Arrow batches, so the last one is
-    held back until its end is seen.
+    The rows of one time are held until the next time or account is seen; pieces are joined once, so a time with many
+    symbols costs its length. With ``keep_state`` an account's last row carries its state.
     """
-    names = [f.name for f in LEDGER_FIELDS]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        account, owner, held_back = None, None, None
-
-        def settle(pdf: pd.DataFrame) -> Iterator[pd.DataFrame]:
-            nonlocal account, owner
-            columns = [pdf[c].tolist() for c in
-                       ("portfolio_id", "symbol", "Close", "signal", "_state")]
-            owners, symbols, prices, signals, states = columns
-            times = _times(pdf).tolist()
-            lacking = pdf[["portfolio_id", "timestamp", "symbol", "Close"]].isna().any(axis=1).tolist()
-            rows, finished, kept, i = [], [], [], 0
-            while i < len(owners):
-                if lacking[i] and not isinstance(states[i], str):
-                    rows.append((S.TRADE_NONE, 0, None, None, None))
-                    kept.append(i)
-                    i += 1
-                    continue
-                if owners[i] != owner:
-                    if keep_state and account is not None:
-                        finished.append((owner, account.dumps()))
-                    owner, account = owners[i], Account(params.starting_cash)
-                if isinstance(states[i], str):
-                    account = Account.loads(states[i])
-                    i += 1
-                    continue
-                j = i
-                while j < len(owners) and owners[j] == owner and times[j] == times[i] and not lacking[j]:
-                    j += 1
-                rows += account.trade(symbols[i:j], prices[i:j], signals[i:j], params)
-                kept.extend(range(i, j))
-                i = j
-            out = pdf.iloc[kept].reset_index(drop=True)
-            out[names] = pd.DataFrame(rows, columns=names)
-            yield out
-            if finished:
-                yield _state_rows(pdf, finished, names)
-
-        for pdf in batches:
-            if held_back is not None:
-                pdf = pd.concat([held_back, pdf], ignore_index=True)
-            if pdf.empty:
-                continue
-            owners, times = pdf["portfolio_id"].fillna(""), _times(pdf)
-            same = (owners == owners.iloc[-1]) & (times == times.iloc[-1])
-            cut = int(same.to_numpy().argmax())
-            held_back = pdf.iloc[cut:]
-            if cut:
-                yield from settle(pdf.iloc[:cut])
-        if held_back is not None:
-            last = held_back
-            yield from settle(held_back)
-            if keep_state and account is not None:
-                yield _state_rows(last, [(owner, account.dumps())], names)
+    def run(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        account, owner, time = Account(params.starting_cash), None, None
+        held: list[tuple] = []                       # rows of one account and time
+
+        def settle(leaves: bool) -> list[tuple]:
+            trading = [row for row in held if row is not None]
+            traded = iter(account.trade(*map(list, zip(*trading)), params) if trading else [])
+            rows = [(*(IDLE_ROW if row is None else next(traded)), None) for row in held]
+            if rows and leaves and keep_state:
+                rows[-1] = (*rows[-1][:-1], account.dumps())
+            held.clear()
+            return rows
+
+        for columns in batches:
+            done: list[tuple] = []
+            for own, symbol, at, price, signal, state in zip(*(c.to_pylist() for c in columns)):
+                if own != owner or at != time:
+                    done += settle(own != owner)
+                    if own != owner:
+                        account = Account(params.starting_cash)
+                    owner, time = own, at
+                if state is not None:
+                    account = Account.loads(state)
+                lacking = state is not None or own is None or symbol is None or at is None or price is None or price != price
+                held.append(None if lacking else (symbol, price, signal))
+            yield _results(done)
+        yield _results(settle(True))
     return run
 
 
-def _state_rows(like: pd.DataFrame, finished: list[tuple], names: list[str]) -> pd.DataFrame:
-    """Rows that carry only an account's name and its state."""
-    empty = pd.Series([None] * len(finished), dtype=object)
-    out = pd.DataFrame({name: empty for name in [*like.columns, *names]})
-    out["portfolio_id"] = pd.Series([owner for owner, _ in finished], dtype=object)
-    out["_state"] = pd.Series([state for _, state in finished], dtype=object)
-    return out
+def _results(rows: list[tuple]) -> pa.Array:
+    columns = list(zip(*rows)) or [()] * len(_RESULT)
+    types = [pa.string(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.map_(pa.string(), pa.int64()), pa.string()]
+    columns[6] = [None if p is None else list(p.items()) for p in columns[6]]
+    return pa.StructArray.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], _RESULT.fieldNames())
 
 
 def _run_ledger(rows: DataFrame, params: JobParams, states: DataFrame | None,
                 keep_state: bool) -> DataFrame:
+    """Ledger rows; with ``keep_state``, ``_state`` is what an account's last row left behind.
+
+    Rows stay in the JVM; five columns and the state go through Arrow. Rows that only bring a state in come out with
+    ``_brought``.
+    """
     rows = rows.withColumn("_state", F.lit(None).cast("string"))
     if states is not None:
         rows = rows.unionByName(states.select("portfolio_id", "_state"), allowMissingColumns=True)
-    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in rows.schema.fields]
-                          + LEDGER_FIELDS)
     arranged = rows.repartition("portfolio_id").sortWithinPartitions(
-        "portfolio_id", F.col("timestamp").asc_nulls_first(), "symbol")
-    return arranged.mapInPandas(_ledger_batches(params, keep_state), schema)
+        "portfolio_id", F.col("_state").isNull(), F.col("timestamp").asc_nulls_first(), "symbol")
+    trade = F.arrow_udf(_ledger_batches(params, keep_state), _RESULT).asNondeterministic()
+    time = F.unix_micros(F.col("timestamp").cast("timestamp"))
+    traded = arranged.withColumn("_row", trade("portfolio_id", "symbol", time, F.col("Close").cast("double"), "signal", "_state"))
+    return traded.withColumns({**{f.name: F.col(f"_row.{f.name}") for f in LEDGER_FIELDS}, "_brought": F.col("_state").isNotNull(),
+                               "_state": F.col("_row.state_after")}).drop("_row")
 
 
 def account_layout(rows: DataFrame, max_rows: int = MAX_ACCOUNT_ROWS) -> SeriesLayout:
@@ -179,7 +165,8 @@ def account_layout(rows: DataFrame, max_rows: int = MAX_ACCOUNT_ROWS) -> SeriesL
 
 def paper_trade(signals: DataFrame, params: JobParams, max_rows: int = MAX_ACCOUNT_ROWS,
                 layout: SeriesLayout | None = None) -> DataFrame:
-    """Ledger: every signal row with trade, holding, cash and account value after it.
+    """Ledger: every signal row with trade, holding, cash and account value after it, its number within the
+    account, and on the last row of an account's batch (its rows of one time) the map of open positions.
 
     Needs ``portfolio_id, symbol, timestamp, Close, signal``; other columns pass
     through.  A row without account, symbol, time or price stays, but does not trade:
@@ -187,7 +174,7 @@ def paper_trade(signals: DataFrame, params: JobParams, max_rows: int = MAX_ACCOU
     """
     layout = layout or account_layout(signals, max_rows)
     if not layout.long:
-        return _run_ledger(signals, params, None, False).drop("_state")
+        return _run_ledger(signals, params, None, False).drop("_state", "_brought")
 
     # Stored once in time order: every slice then reads its own row groups instead of
     # computing the signals again.
@@ -199,12 +186,10 @@ def paper_trade(signals: DataFrame, params: JobParams, max_rows: int = MAX_ACCOU
     )
     timed = spark.read.parquet(path)
     # Common slice borders: cut where the longest account has had its share.
-    # The window runs over time buckets, whose number depends on the calendar only.
-    by_time = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    longest = timed.groupBy("portfolio_id", "_bucket").count().groupBy("_bucket").agg(F.max("count").alias("_n"))
     borders = (
-        timed.groupBy("portfolio_id", "_bucket").count()
-        .groupBy("_bucket").agg(F.max("count").alias("_n"))
-        .withColumn("_slice", F.floor(F.coalesce(F.sum("_n").over(by_time), F.lit(0)) / max_rows))
+        prefix_sums(longest, ["_bucket"], "_n", "_before")
+        .withColumn("_slice", F.floor(F.col("_before") / max_rows))
         .groupBy("_slice").agg(F.min("_bucket").alias("_from")).orderBy("_slice")
     )
     starts = [row["_from"] for row in borders.collect()]
@@ -214,11 +199,8 @@ def paper_trade(signals: DataFrame, params: JobParams, max_rows: int = MAX_ACCOU
         if end is not None:
             part = part.filter(F.col("_bucket") < end)
         done = cut_lineage(_run_ledger(part.drop("_bucket"), params, states, True))
-        ledgers.append(done.filter(F.col("_state").isNull()).drop("_state"))
+        ledgers.append(done.filter(~F.col("_brought")).drop("_state", "_brought"))
         fresh = done.filter(F.col("_state").isNotNull()).select("portfolio_id", "_state")
-        if states is not None:
-            idle = states.join(fresh.select("portfolio_id"), "portfolio_id", "left_anti")
-            fresh = fresh.unionByName(idle)
         states = cut_lineage(fresh)
     return reduce(DataFrame.unionByName, ledgers)
 
@@ -245,9 +227,9 @@ def trade_log(trade_rows: DataFrame, n: int = 10) -> DataFrame:
 
 
 def holdings(ledger: DataFrame) -> DataFrame:
-    """Last holding per account and symbol; of equal times the larger one."""
+    """Last holding per account and symbol, in the order in which the account traded."""
     return ledger.filter("shares_held IS NOT NULL").groupBy("portfolio_id", "symbol").agg(
-        F.max(F.struct("timestamp", "shares_held"))["shares_held"].alias("shares"))
+        F.max_by("shares_held", "ledger_row").alias("shares"))
 
 
 def open_positions(held: DataFrame) -> DataFrame:
@@ -264,9 +246,13 @@ def mark_to_market(held: DataFrame, prices: DataFrame,
 
 def account_values(ledger: DataFrame) -> DataFrame:
     """Cash and value of every account after its last batch."""
-    at = F.struct("timestamp", "symbol")
     return ledger.groupBy("portfolio_id").agg(
-        F.max_by("cash", at).alias("cash"), F.max_by("portfolio_value", at).alias("portfolio_value"))
+        F.max_by("cash", "ledger_row").alias("cash"), F.max_by("portfolio_value", "ledger_row").alias("portfolio_value"))
+
+
+def positions(ledger: DataFrame) -> DataFrame:
+    """Open positions of every account after each of its batches, one row a batch."""
+    return ledger.filter("positions IS NOT NULL").select("portfolio_id", "timestamp", "ledger_row", "positions")
 
 
 def pnl(values: DataFrame, starting_cash: float) -> DataFrame:

@@ -48,6 +48,24 @@ def time_bucket(df: DataFrame, order: str, width: int) -> Column:
     return F.floor(_micros(df, order) / F.lit(width)).cast("long")
 
 
+def prefix_sums(rows: DataFrame, order: list[str], value: str, name: str) -> DataFrame:
+    """``rows`` with ``name``: the sum of ``value`` over all rows before, by the columns ``order``.
+
+    Two levels, so that no task gets all rows: range partitions with their totals (one number a partition comes to the
+    driver), then running sums within each. The partitions are stored, so both steps see the same ones.
+    """
+    part = cut_lineage(rows.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
+    totals = sorted((row["_part"], row["_sum"]) for row in part.groupBy("_part").agg(F.sum(value).alias("_sum")).collect())
+    starts, before = [], 0
+    for number, total in totals:
+        starts.append((number, before))
+        before += total or 0
+    starts = rows.sparkSession.createDataFrame(starts, "_part int, _start long")
+    earlier = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return part.join(F.broadcast(starts), "_part").withColumn(
+        name, F.col("_start") + F.coalesce(F.sum(value).over(earlier), F.lit(0))).drop("_part", "_start")
+
+
 @dataclass(frozen=True)
 class SeriesLayout:
     """Result of measuring a table of series; also the way to window over it."""

@@ -170,7 +170,8 @@ def signal_record(df: DataFrame) -> DataFrame:
     """The published record: names and roundings.
 
     Columns of later steps (replay scoring, ledger, throughput) are used when
-    present and take their neutral value otherwise.
+    present and take their neutral value otherwise.  With a ledger, the last record of an
+    account's batch has its open positions; the other records of the batch have none (null).
     """
     def have(name: str, default) -> Column:
         return F.col(name) if name in df.columns else F.lit(default)
@@ -193,7 +194,7 @@ def signal_record(df: DataFrame) -> DataFrame:
         F.coalesce(F.round(F.col("probability_up") * 100, 2), F.lit(0.0)).alias("gbt_probability"),
         F.col("stale").alias("gbt_stale"),
         "confidence", "explanation",
-        have("throughput", 0).cast("int").alias("throughput"),
+        F.coalesce(have("throughput", 0), F.lit(0)).cast("int").alias("throughput"),
         F.round(have("portfolio_value", 0.0), 2).alias("portfolio_value"),
         F.round(have("cash", 0.0), 2).alias("cash"),
         positions.alias("positions"),

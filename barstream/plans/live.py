@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barstream.functions.numeric import weighted_sum
+from barstream.operators.aggregates import batch_throughput
 from barstream.operators.indicators import (
     add_macd, live_features, live_layout, window_indicators,
 )
@@ -30,7 +32,7 @@ def replayed_bars(bars: DataFrame, weights: Sequence[float], intercept: float,
     Indicators, scores and replay windows share one layout and one window
     definition, hence one shuffle; MACD comes last because it leaves the JVM.
     """
-    layout = live_layout(bars, params, at_least=params.replay_errors, **layout_options)
+    layout = live_layout(bars, params, further=params.replay_errors, **layout_options)
     df = window_indicators(layout.spread(bars), layout, params)
     df = add_scores(df, weights, intercept, params, tree_model)
     df = add_replay(df, layout, params)
@@ -47,15 +49,18 @@ def signal_records(bars: DataFrame, weights: Sequence[float], intercept: float,
         # Accounts are measured on the bars, which is cheaper than on the scored rows.
         layout = account_layout(bars.withColumn("portfolio_id", account))
         df = paper_trade(df.withColumn("portfolio_id", account), params, layout=layout)
-    return signal_record(add_texts(df, params))
+    # Bars of one time are a batch, as one micro-batch is in the stream.
+    return signal_record(add_texts(df.join(batch_throughput(bars), "timestamp", "left"), params))
 
 
 def score_history(bars: DataFrame, model, columns: list[str]) -> DataFrame:
     """Plain linear scoring of stored bars, as the scoring benchmark does it:
-    MA_10 stands in by Close and Volatility by 1."""
+    MA_10 stands in by Close and Volatility by 1.  ``model`` is a fitted one, or its weights and intercept."""
     from barstream.operators.models import predict
 
     ready = bars.select(
-        *[F.col(c).cast("double").alias(c) for c in ("Open", "High", "Low", "Close", "Volume")],
+        *([] if not isinstance(model, tuple) else ["symbol"]), *[F.col(c).cast("double").alias(c) for c in ("Open", "High", "Low", "Close", "Volume")],
         F.col("Close").cast("double").alias("MA_10"), F.lit(1.0).alias("Volatility"))
+    if isinstance(model, tuple):
+        return ready.withColumn("prediction", weighted_sum(columns, *model))
     return predict(model, ready, columns)

@@ -171,3 +171,29 @@ ledger AS (
 
 FIXED_SIZE = "5"
 RISK_SIZE = 'greatest(1, trunc(a.cash * 0.05 / greatest(t."Close", 0.01)))'
+
+
+def shared_ledger(ctes: str) -> str:
+    """Accounts of three symbols each that trade five shares at a time from one pot of cash."""
+    return ctes + """, steps_of AS (
+  SELECT CAST(CAST(symbol AS INTEGER) // 3 AS VARCHAR) AS pid, symbol, "timestamp", "Close" AS p,
+    signal, CAST(symbol AS INTEGER) % 3 AS slot, row_number() OVER (
+      PARTITION BY CAST(symbol AS INTEGER) // 3 ORDER BY "timestamp", symbol) AS k FROM scored),
+pot AS (
+  SELECT DISTINCT pid, CAST(0 AS BIGINT) AS k, CAST(100000.0 AS DOUBLE) AS cash,
+    CAST(0 AS BIGINT) AS h0, CAST(0 AS BIGINT) AS h1, CAST(0 AS BIGINT) AS h2, 'None' AS note, 0 AS d
+  FROM steps_of
+  UNION ALL
+  SELECT pid, k, cash - p * d, h0 + CASE slot WHEN 0 THEN d ELSE 0 END,
+    h1 + CASE slot WHEN 1 THEN d ELSE 0 END, h2 + CASE slot WHEN 2 THEN d ELSE 0 END,
+    CASE d WHEN 0 THEN 'None' WHEN 5 THEN printf('BOUGHT 5 @ $%.2f', p)
+      ELSE printf('SOLD 5 @ $%.2f', p) END, d
+  FROM (SELECT t.pid, t.k, t.p, t.slot, a.cash, a.h0, a.h1, a.h2,
+      CASE WHEN t.signal = 'BUY' AND a.cash >= t.p * 5 THEN 5
+        WHEN t.signal = 'SELL' AND CASE t.slot WHEN 0 THEN a.h0 WHEN 1 THEN a.h1 ELSE a.h2 END >= 5
+        THEN -5 ELSE 0 END AS d
+    FROM pot a JOIN steps_of t ON t.pid = a.pid AND t.k = a.k + 1)),
+shared AS (
+  SELECT t.pid AS portfolio_id, t.symbol, t."timestamp", a.note AS trade_executed,
+    CASE t.slot WHEN 0 THEN h0 WHEN 1 THEN h1 ELSE h2 END AS shares_held, a.cash, a.k, a.h0, a.h1, a.h2, a.d
+  FROM pot a JOIN steps_of t ON t.pid = a.pid AND t.k = a.k)"""

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from barstream.functions import numeric as N
 from barstream.functions import text as X_text
+from barstream import schemas as S
 from barstream.operators import cleaning, expansion
 from barstream.operators.features import rolling_features
 from barstream.queries import blocks as B
@@ -155,25 +156,35 @@ sums AS (SELECT symbol, replica, count(*) AS bars, min(day) AS first_day, max(da
   sum("Volume") AS volume FROM expanded GROUP BY 1, 2)""", "sums", _E1)
 
 
-_E2 = "symbol bars# broken# below_floor# far_off#"
+_E2 = "symbol bars# broken# below_floor# far_off# off_mean# off_spread# tied#"
 
 
 def e2_noise(spark, sf):
-    """Noisy, repaired candles: how many per symbol break a rule of the step."""
-    expanded = expansion.expand_history(X.bars(spark, sf)).withColumn("clean", F.col("Close"))
+    """Noisy, repaired candles: how many per symbol break a rule of the step, and whether the noise of prices far from
+    the floor has mean 0 and deviation 0.5 and differs between prices, within five standard errors."""
+    expanded = expansion.expand_history(X.bars(spark, sf)).withColumns({"clean": F.col("Close"), "clean_open": F.col("Open")})
     noisy = expansion.repair_ohlc(expansion.add_noise(expanded))
     low, high = F.col("Low"), F.col("High")
+    far = (F.col("clean") > 10) & (F.col("clean_open") > 10)
+    noise, noise_open = F.when(far, F.col("Close") - F.col("clean")), F.when(far, F.col("Open") - F.col("clean_open"))
+
+    def _beyond(distance, deviation):
+        return (distance > 5 * deviation / F.sqrt(F.count(noise))).cast("int")
+
     broken = (low > F.least("Open", "Close")) | (high < F.greatest("Open", "Close")) | (low > high)
     return shaped(noisy.groupBy("symbol").agg(
         F.count(F.lit(1)).alias("bars"), F.count_if(broken).alias("broken"),
         F.count_if(low < 1.0).alias("below_floor"),
         F.count_if(F.abs(F.col("Close") - F.greatest(F.lit(1.0), F.col("clean"))) > 5.0)
-        .alias("far_off")), _E2)
+        .alias("far_off"),
+        _beyond(F.abs(F.avg(noise)), S.NOISE_SIGMA).alias("off_mean"),
+        _beyond(F.abs(F.stddev_samp(noise) - S.NOISE_SIGMA), S.NOISE_SIGMA / 2 ** 0.5).alias("off_spread"),
+        _beyond(F.abs(F.corr(noise, noise_open)), 1.0).alias("tied")), _E2)
 
 
 ORACLE["e2_noise"] = shaped_sql(
     B.BARS + """, sums AS (SELECT symbol, 15 * count(*) AS bars, 0 AS broken, 0 AS below_floor,
-  0 AS far_off FROM bars GROUP BY 1)""", "sums", _E2)
+  0 AS far_off, 0 AS off_mean, 0 AS off_spread, 0 AS tied FROM bars GROUP BY 1)""", "sums", _E2)
 
 
 def e3_repair(spark, sf):

@@ -182,7 +182,12 @@ _RECORD = ("symbol timestamp@ price~1 volume~2 sma_20~1 momentum~1 signal lasso_
            "lasso_return~3 lasso_return_raw~3 gbt_direction gbt_probability~1 gbt_stale "
            "confidence# rsi~1 lasso_mae~1 gbt_accuracy~1 lasso_error~1 anomaly trade_executed")
 
-_RECORDS = B.replayed(B.scored("live", B.LIVE)) + f""", records AS (
+_MACD_PARTS = ("line", "signal", "histogram")
+
+
+def _records_sql(ctes: str, macd: bool) -> str:
+    macds = ", ".join(half_up(f"macd_{part}", 4) + f" AS macd_{part}" if macd else f"0.0 AS macd_{part}" for part in _MACD_PARTS)
+    return ctes + f""", records AS (
   SELECT symbol, "timestamp", {half_up('"Close"', 2)} AS price, "Volume" AS volume,
     {half_up("sma", 2)} AS sma_20, {half_up("momentum_1 * 100", 2)} AS momentum, signal,
     target_price AS lasso_target, {half_up("score * 100", 4)} AS lasso_return,
@@ -190,7 +195,11 @@ _RECORDS = B.replayed(B.scored("live", B.LIVE)) + f""", records AS (
     CASE WHEN direction = 1 THEN 'UP' ELSE 'DOWN' END AS gbt_direction, 0.0 AS gbt_probability,
     stale AS gbt_stale, confidence, {half_up("rsi", 2)} AS rsi, lasso_mae, gbt_accuracy,
     {half_up("coalesce(lasso_error, 0.0)", 4)} AS lasso_error, anomaly,
-    'None' AS trade_executed FROM replay)"""
+    'None' AS trade_executed, {macds} FROM replay)"""
+
+
+_RECORDS = _records_sql(B.replayed(B.scored("live", B.LIVE)), False)
+_FULL_RECORDS = _records_sql(B.replayed(B.scored("full_live", B.MACD)), True)
 
 
 def _records(spark, sf, params: JobParams = NO_MACD) -> DataFrame:
@@ -205,6 +214,44 @@ def m12_signal_record(spark, sf):
 ORACLE["m12_signal_record"] = shaped_sql(_RECORDS, "records", _RECORD)
 
 
+ACCOUNT = JobParams(auto_trade=True, trade_size_shares=5, volume_threshold=100.0, shock_threshold=5000.0)
+_ACCOUNT = ("portfolio_id symbol timestamp@ trade_executed shares_traded# cash~2 positions throughput# "
+            "macd_line~3 macd_signal~3 macd_histogram~3")
+
+
+def _listed(positions: str):
+    """A map of positions as text, in order of symbols."""
+    entries = F.transform(F.map_entries(positions), lambda e: F.concat_ws(":", e["key"], e["value"]))
+    return F.array_join(F.array_sort(entries), ",")
+
+
+_ROUNDED_MACD = ", ".join(f"{half_up(f'f.macd_{part}', 4)} AS macd_{part}" for part in ("line", "signal", "histogram"))
+
+
+def m12_account_record(spark, sf):
+    """Records of accounts that trade three symbols each: cash, positions after every batch, batch size, MACD."""
+    account = F.floor(F.col("symbol").cast("int") / 3).cast("string")
+    records = signal_records(X.bars(spark, sf), B.WEIGHTS, B.INTERCEPT, ACCOUNT, account=account)
+    return shaped(records.withColumn("positions", _listed("positions")), _ACCOUNT)
+
+
+ORACLE["m12_account_record"] = shaped_sql(
+    B.shared_ledger(B.scored("full_live", B.MACD)) + f""", account AS (
+  SELECT s.portfolio_id, s.symbol, s."timestamp", s.trade_executed, abs(s.d) AS shares_traded, s.cash,
+    CASE WHEN lead(s."timestamp") OVER (PARTITION BY s.portfolio_id ORDER BY s.k) IS DISTINCT FROM s."timestamp"
+      THEN list_aggregate(list_sort(list_filter([
+        CASE WHEN h0 > 0 THEN (CAST(s.portfolio_id AS INTEGER) * 3) || ':' || h0 END,
+        CASE WHEN h1 > 0 THEN (CAST(s.portfolio_id AS INTEGER) * 3 + 1) || ':' || h1 END,
+        CASE WHEN h2 > 0 THEN (CAST(s.portfolio_id AS INTEGER) * 3 + 2) || ':' || h2 END],
+        lambda x: x IS NOT NULL)), 'string_agg', ',') END AS held,
+    lead(s."timestamp") OVER (PARTITION BY s.portfolio_id ORDER BY s.k) IS DISTINCT FROM s."timestamp" AS ends,
+    count(*) OVER (PARTITION BY s."timestamp") AS throughput,
+    {_ROUNDED_MACD}
+  FROM shared s JOIN full_live f ON f.symbol = s.symbol AND f."timestamp" = s."timestamp"),
+records AS (SELECT * EXCLUDE (held), CASE WHEN ends THEN coalesce(held, '') END AS positions FROM account)""",
+    "records", _ACCOUNT)
+
+
 def s11_write_signals(spark, sf):
     from barstream.sources.sinks import write_signals
     from barstream.storage import scratch_path
@@ -217,10 +264,15 @@ def s11_write_signals(spark, sf):
 ORACLE["s11_write_signals"] = shaped_sql(
     _RECORDS, "records", "symbol timestamp@ signal confidence#")
 
-_LATEST = _RECORDS + """, latest AS (
+
+def _latest(records: str) -> str:
+    return records + """, latest AS (
   SELECT * FROM records QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY "timestamp" DESC) = 1)"""
 
 
+_LATEST = _latest(_RECORDS)
+
+
 def a6_replay_accuracy(spark, sf):
     state = views.latest_state(_records(spark, sf))
     return shaped(replay.replay_accuracy(state),
@@ -265,15 +317,15 @@ state AS (SELECT k.symbol, coalesce(price, 100.0) AS price, coalesce(momentum, 0
 
 
 def k2_history(spark, sf):
-    return shaped(views.history(_records(spark, sf)),
-                  "symbol time@ price~1 target~1 sma~1 rsi~1")
+    return shaped(views.history(_records(spark, sf, FULL)),
+                  "symbol time@ price~1 target~1 sma~1 rsi~1 macd~3")
 
 
 ORACLE["k2_history"] = shaped_sql(
-    _RECORDS + """, hist AS (SELECT symbol, "timestamp" AS time, price, lasso_target AS target,
-  sma_20 AS sma, rsi FROM records
+    _FULL_RECORDS + """, hist AS (SELECT symbol, "timestamp" AS time, price, lasso_target AS target,
+  sma_20 AS sma, rsi, macd_line AS macd FROM records
   QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY "timestamp" DESC) <= 100)""",
-    "hist", "symbol time@ price~1 target~1 sma~1 rsi~1")
+    "hist", "symbol time@ price~1 target~1 sma~1 rsi~1 macd~3")
 
 
 def k2_history_lists(spark, sf):
@@ -305,7 +357,7 @@ _DELTA = "symbol price~1 target~1 line~3 current confidence# anomaly"
 
 def k4_tick_delta(spark, sf):
     """Deltas as JSON text, some fields read back out of it."""
-    deltas = views.to_delta_json(views.tick_delta(_records(spark, sf)))
+    deltas = views.to_delta_json(views.tick_delta(_records(spark, sf, FULL)))
     paths = {"price": "$.market.price", "target": "$.market.history_point.target",
              "line": "$.indicators.macd.line", "current": "$.signals.current",
              "confidence": "$.signals.confidence", "anomaly": "$.anomalies[0]"}
@@ -314,7 +366,7 @@ def k4_tick_delta(spark, sf):
 
 
 ORACLE["k4_tick_delta"] = shaped_sql(
-    _LATEST + """, delta AS (SELECT symbol, price, lasso_target AS target, 0.0 AS line,
+    _latest(_FULL_RECORDS) + """, delta AS (SELECT symbol, price, lasso_target AS target, macd_line AS line,
   signal AS current, confidence, anomaly FROM latest)""", "delta", _DELTA)
 
 
@@ -333,6 +385,6 @@ last AS (SELECT us // 200000 * 200000 AS window_us, symbol, max(us) AS ts_us,
     "last", "window_us# symbol ts_us# Close~2 Volume#")
 
 QUERIES.update({f.__name__: f for f in (
-    l13_macd, l12_live_features, l14_toggles, m8_explanation, m7_missing_values, m4_tree_score, m12_signal_record,
+    l13_macd, l12_live_features, l14_toggles, m8_explanation, m7_missing_values, m4_tree_score, m12_signal_record, m12_account_record,
     s11_write_signals, a6_replay_accuracy, a7_edge_vs_random, k1_latest_state, k2_history,
     k2_history_lists, k3_top_movers, k4_tick_delta, k5_coalesce_ticks)})

@@ -15,6 +15,7 @@ from barstream.plans.training import run_training, stored_features
 from barstream.queries import blocks as B
 from barstream.queries.shape import shaped, shaped_sql
 from barstream.sources import fixtures as X
+from barstream.storage import cut_lineage
 
 QUERIES, ORACLE = {}, {}
 
@@ -202,11 +203,22 @@ def f3_random_split(spark, sf):
     train, test = models.random_split(X.bars(spark, sf))
     both = train.withColumn("side", F.lit("train")).unionByName(
         test.withColumn("side", F.lit("test")))
-    return both.groupBy("symbol", "side").count()
+    return shaped(both, "symbol timestamp@ side")
+
+
+_DRAW = """substr(md5(symbol || '|' || CAST("timestamp" AS VARCHAR) || '|{}'), 1, 13)"""
+ORACLE["f3_random_split"] = shaped_sql(
+    B.BARS + f""", sides AS (SELECT *, CASE WHEN {_DRAW.format(42)} < '{int(S.TRAIN_SHARE * 16 ** 13):013x}' THEN 'train' ELSE 'test' END AS side
+  FROM bars)""", "sides", "symbol timestamp@ side")
 
 
 def f4_sample_train(spark, sf):
-    return models.sample_train(X.bars(spark, sf), 0.75).groupBy("symbol").count()
+    return shaped(models.sample_train(X.bars(spark, sf), 0.75), "symbol timestamp@ Close~4")
+
+
+ORACLE["f4_sample_train"] = shaped_sql(
+    B.BARS + f""", drawn AS (SELECT * FROM bars WHERE {_DRAW.format(43)} < '{int(0.75 * 16 ** 13):013x}')""",
+    "drawn", "symbol timestamp@ Close~4")
 
 
 def _features(spark, sf):
@@ -225,6 +237,51 @@ def f7_lasso_price(spark, sf):
     return metrics.regression_metrics(scored, "Target_Price")
 
 
+GAP = 0.01
+
+
+def _certified(certificate):
+    return shaped(certificate.withColumn("certified", (F.col("gap") <= GAP).cast("int")), "feature mean~5 covariance~5 certified#")
+
+
+def _certificate_sql(ctes: str, source: str, columns: list[str], target: str) -> str:
+    rows = " UNION ALL ".join(
+        f"""SELECT '{c}' AS feature, avg("{c}") AS mean, covar_pop("{c}", "{target}") AS covariance, 1 AS certified FROM {source}""" for c in columns)
+    return shaped_sql(f"{ctes}, rows AS ({rows})", "rows", "feature mean~5 covariance~5 certified#")
+
+
+def f6_lasso_certificate(spark, sf):
+    """The next-return regression with the moments it was fitted on and proof of its optimality per feature."""
+    train = stored_features(X.bars(spark, sf), max_return=WIDE)
+    return _certified(models.lasso_certificate(train, models.fit_lasso(train), S.LASSO_FEATURES, "Target_Return"))
+
+
+ORACLE["f6_lasso_certificate"] = _certificate_sql(B.training(WIDE), "train", S.LASSO_FEATURES, "Target_Return")
+
+
+def f7_lasso_certificate(spark, sf):
+    """The next-price regression likewise."""
+    train = cut_lineage(features.price_features(X.bars(spark, sf)))
+    return _certified(models.lasso_certificate(train, models.fit_lasso(train, price=True, maxIter=500, tol=1e-12), S.SMALL_FEATURES, "Target_Price"))
+
+
+ORACLE["f7_lasso_certificate"] = _certificate_sql(
+    B.FEATURES + """, priced AS (SELECT *, "Next_Close" AS "Target_Price" FROM rolling
+  WHERE "Next_Close" IS NOT NULL AND "Volatility" IS NOT NULL)""", "priced", S.SMALL_FEATURES, "Target_Price")
+
+
+def m14_given_weights(spark, sf):
+    """A linear model given by its weights, over the whole history: checksum per symbol."""
+    columns = ["Open", "High", "Low", "Close", "Volume", "MA_10", "Volatility"]
+    scored = score_history(X.bars(spark, sf), ([0.2, -0.1, 0.05, 0.6, 0.001, 0.25, 1.5], -3.0), columns)
+    return shaped(scored.groupBy("symbol").agg(F.sum("prediction").alias("checksum")), "symbol checksum~3")
+
+
+ORACLE["m14_given_weights"] = shaped_sql(
+    B.BARS + """, sums AS (SELECT symbol, sum("Open" * 0.2 - "High" * 0.1 + "Low" * 0.05 + "Close" * 0.6 + "Volume" * 0.001
+  + "Close" * 0.25 + 1.5 - 3.0) AS checksum FROM bars GROUP BY 1)""", "sums", "symbol checksum~3")
+
+
 def _trees(preset: str, **overrides):
     """Fit a preset and report accuracy per direction."""
     def run(spark, sf):
@@ -252,7 +309,7 @@ def f15_scaling_sweep(spark, sf):
 QUERIES.update({f.__name__: f for f in (
     w13_target_price, f2_time_split, a4_score_checksum, a8_regression_metrics, a9_accuracy,
     a10_roc_auc, a11_log_loss, m13_wide_score, m14_score_history, f1_assemble, f3_random_split,
-    f4_sample_train, f6_lasso_return, f7_lasso_price, f13_train_both, f15_scaling_sweep)})
+    f4_sample_train, f6_lasso_certificate, f7_lasso_certificate, m14_given_weights, f6_lasso_return, f7_lasso_price, f13_train_both, f15_scaling_sweep)})
 QUERIES["f8_gbt_main"] = _trees("main")
 QUERIES["f9_gbt_small"] = _trees("small")
 QUERIES["f10_gbt_balanced"] = _trees("balanced")

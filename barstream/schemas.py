@@ -90,4 +90,5 @@ NOISE_SIGMA = 0.5
 NOISE_SEEDS = {"Open": 42, "High": 43, "Low": 44, "Close": 45}
 MIN_NOISY_PRICE = 1.0
 DEFAULT_POSITION_PRICE = 100.0
+BACKLOG_FILES = 20
 FALLBACK_SYMBOLS = [("AAPL", 150.0), ("TSLA", 200.0)]

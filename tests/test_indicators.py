@@ -124,3 +124,51 @@ def test_partition_count_does_not_matter(spark, skewed):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert len(sums) == 1
+
+
+def scanned(closes, spans=(12, 26, 9)):
+    """Averages one price at a time; a missing price leaves them as they are."""
+    out, state = [], None
+    shares = [2 / (n + 1) for n in spans]
+    for x in closes:
+        if x is not None and x == x:
+            f, s, g = state or (x, x, 0.0)
+            f, s = f + shares[0] * (x - f), s + shares[1] * (x - s)
+            state = (f, s, g + shares[2] * (f - s - g))
+        out.append(state and (state[0] - state[1], state[2]))
+    return out
+
+
+@pytest.mark.parametrize("max_rows, batch", [(10, 1000), (25, 7), (60, 3), (1000, 5)])
+def test_cut_averages_equal_the_uncut_run(spark, max_rows, batch):
+    """Chunks begin with their true averages: no lead-in rows, and missing prices anywhere."""
+    rng = np.random.default_rng(max_rows)
+    closes = [float(x) for x in rng.normal(100, 20, 400)]
+    for i in [0, 1, 2, *range(50, 75), 200, 399]:
+        closes[i] = None if i % 2 else float("nan")
+    bars = bars_of(spark, [1.0] * 400).join(spark.createDataFrame(list(enumerate(closes)), "i int, x double"), "i")
+    bars = bars.withColumn("Close", F.col("x")).drop("x").unionByName(bars_of(spark, [5.0, 7.0, 6.0], symbol="B"))
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, str(batch))
+        layout = indicators.live_layout(bars, max_rows=max_rows)
+        rows = indicators.macd(bars, layout=layout).orderBy("i").collect()
+    finally:
+        spark.conf.set(key, before)
+    assert layout.long == (max_rows < 400)
+    for symbol, values in (("A", closes), ("B", [5.0, 7.0, 6.0])):
+        got = [r for r in rows if r["symbol"] == symbol]
+        assert len(got) == len(values)
+        for r, want in zip(got, scanned(values)):
+            if want is None:
+                assert r["macd_line"] is None and r["macd_signal"] is None
+            else:
+                assert r["macd_line"] == pytest.approx(want[0], rel=1e-12, abs=1e-12)
+                assert r["macd_signal"] == pytest.approx(want[1], rel=1e-12, abs=1e-12)
+
+
+def test_layout_needs_no_lead_in(spark, skewed):
+    layout = indicators.live_layout(skewed, max_rows=100)
+    spread = layout.spread(skewed)
+    assert spread.filter("NOT _mine").groupBy("symbol", "_chunk").count().agg(F.max("count")).first()[0] <= 60

@@ -140,3 +140,42 @@ def test_views(spark):
     fresh = portfolio.reset_portfolio(df, ON).collect()
     assert {r["portfolio_id"] for r in fresh} == {"p", "q"}
     assert all(r["cash"] == 100.0 and r["positions"] == {} for r in fresh)
+
+
+def test_holdings_follow_the_order_of_trading(spark):
+    """Bought and sold at one time: the last holding is what is left, not the larger."""
+    rows = [("p", 1, "A", 10.0, "BUY"), ("p", 2, "A", 10.0, "BUY"), ("p", 2, "A", 10.0, "SELL"), ("p", 2, "A", 10.0, "SELL")]
+    book = portfolio.paper_trade(signals_of(spark, rows), ON)
+    (held,) = portfolio.holdings(book).collect()
+    sold = book.filter("trade_executed LIKE 'SOLD%'").count()
+    assert held["shares"] == book.filter("trade_executed LIKE 'BOUGHT%'").count() - sold and sold == 2
+    assert portfolio.account_values(book).first()["cash"] == 100.0
+
+
+@pytest.mark.parametrize("options", [{}, {"max_rows": 60}])
+def test_positions_after_every_batch(spark, options):
+    """The map on a batch's last row is the sum of all trades so far, and no other row has one."""
+    book = portfolio.paper_trade(signals_of(spark, random_rows(11)), ON, **options)
+    held = {}
+    rows = book.orderBy("portfolio_id", "ledger_row").collect()
+    for i, r in enumerate(rows):
+        own = held.setdefault(r["portfolio_id"], {})
+        own[r["symbol"]] = r["shares_held"]
+        last = i + 1 == len(rows) or (rows[i + 1]["portfolio_id"], rows[i + 1]["timestamp"]) != (r["portfolio_id"], r["timestamp"])
+        assert r["positions"] == ({s: n for s, n in own.items() if n} if last else None)
+    assert portfolio.positions(book).count() == len({(r["portfolio_id"], r["timestamp"]) for r in rows})
+
+
+def test_no_window_without_partition(spark, capsys):
+    """Neither slicing accounts nor prefix sums put all rows in one task."""
+    from barstream.operators.series import prefix_sums
+
+    many = spark.range(100_000).select(F.md5(F.col("id").cast("string")).alias("symbol"), (F.col("id") % 7).alias("n"))
+    sums = prefix_sums(many, ["symbol"], "n", "before")
+    sums.explain()
+    portfolio.paper_trade(signals_of(spark, random_rows(12)), ON, max_rows=60).explain()
+    assert "SinglePartition" not in capsys.readouterr().out
+    want = 0
+    for r in sums.orderBy("symbol").collect():
+        assert r["before"] == want
+        want += r["n"]

@@ -134,3 +134,110 @@ def test_coalescing_drops_late_rows_on_streams(spark, folder, tmp_path):
     got = spark.read.parquet(sink)
     # Windows close once the watermark has passed them.
     assert got.filter("symbol = 'B'").count() == BATCHES - 2
+
+
+def drained(stream, sink):
+    start_rows(stream, sink, f"{sink}-checkpoint", interval=None).awaitTermination()
+    return stream.sparkSession.read.parquet(sink)
+
+
+def test_newest_files_are_read_and_the_rest_shed(spark, tmp_path):
+    """Per batch the newest files; surplus ones are logged and not opened, late old ones left out, all deleted if asked."""
+    from barstream.streaming.newest import shed_files
+    from barstream.streaming.source import read_newest_ticks
+
+    folder, log, sink = tmp_path / "in", str(tmp_path / "log"), str(tmp_path / "sink")
+    folder.mkdir()
+
+    def add(number, at, text=None):
+        file = folder / f"tick_{number}.csv"
+        file.write_text(text or f"2024-01-01T00:00:{number:02d}.000Z,S{number},1,1,1,{number},5,\r\nbroken,line\n2024-01-01T00:00:00Z,T,,,,oops,1,")
+        os.utime(file, (at, at))
+
+    for n in range(6):
+        add(n, 1000 + n)
+    read = lambda: drained(read_newest_ticks(spark, str(folder), 2, log), sink)
+    assert sorted(r["Symbol"] for r in read().collect()) == ["S4", "S5"]
+    assert sorted(r["file"] for r in shed_files(spark, log).collect()) == [f"tick_{n}.csv" for n in range(4)]
+    add(6, 1003)                           # older than what was read
+    add(7, 2000)
+    assert sorted(r["Symbol"] for r in read().collect()) == ["S4", "S5", "S7"]
+    assert shed_files(spark, log).count() == 4
+    assert read().count() == 3             # nothing new
+
+    cleaned = drained(read_newest_ticks(spark, str(folder), 3, clean=True), str(tmp_path / "cleaned"))
+    assert sorted(r["Symbol"] for r in cleaned.collect()) == ["S4", "S5", "S7"]
+    add(8, 3000)                           # a batch is cleaned up when the next one begins
+    drained(read_newest_ticks(spark, str(folder), 3, clean=True), str(tmp_path / "cleaned"))
+    assert not (folder / "tick_5.csv").exists() and not (folder / "tick_0.csv").exists()
+
+
+def test_empty_folder_gives_no_batch(spark, tmp_path):
+    from barstream.streaming.newest import chosen, list_marks
+
+    assert list_marks(str(tmp_path)) == list_marks(str(tmp_path / "none")) == []
+    marks = [[5, "a"], [5, "b"], [7, "c"]]
+    assert chosen(marks, [5, "a"], [7, "c"], 1) == (["c"], ["b"])
+    assert chosen(marks, [-1, ""], [5, "b"], 5) == (["a", "b"], [])
+
+
+def test_keyed_table_takes_a_batch_once(spark, tmp_path):
+    """Three batches, the second run twice, an empty one: the newest row of each symbol, older versions removed."""
+    from barstream.operators.views import latest_state, top_movers
+    from barstream.streaming.keyed_table import KEPT, KeyedTable
+
+    table = KeyedTable(str(tmp_path / "state"), buckets=4)
+    with pytest.raises(FileNotFoundError):
+        table.read(spark)
+    rows = [(f"S{i % 30}", i, float(i), float((i * 7) % 13)) for i in range(200)] + [("S1", 500, 1.0, 1.0), ("S1", 500, 2.0, 9.0), (None, 9, 9.0, 9.0)]
+    signals = spark.createDataFrame(rows, "symbol string, t int, price double, momentum double").withColumn("timestamp", F.timestamp_seconds("t")).drop("t")
+    parts = [signals.filter(F.abs(F.hash("timestamp")) % 3 == k) for k in range(3)]
+    for batch, part in ((0, parts[0]), (1, parts[1]), (1, parts[1]), (2, parts[2]), (3, signals.limit(0))):
+        table.merge(part, batch)
+    batch_view = latest_state(signals.filter("symbol IS NOT NULL"))
+    got, want = (sorted(tuple(r) for r in df.select(*signals.columns).collect()) for df in (table.read(spark), batch_view))
+    assert got == want and len(got) == 30
+    assert [tuple(r) for r in top_movers(table.read(spark)).collect()] == [tuple(r) for r in top_movers(batch_view).collect()]
+    for batch in range(4, 12):
+        table.merge(signals.filter(F.col("symbol") == f"S{batch}"), batch)
+    assert len(os.listdir(tmp_path / "state" / "manifests")) <= 2 * KEPT  # with the file system's checksums
+    assert sorted(tuple(r) for r in table.read(spark).select(*signals.columns).collect()) == want
+
+
+def test_workload_and_base_price(spark, folder, tmp_path):
+    from barstream.streaming.signals import of_workload
+
+    symbols = spark.createDataFrame([("A", 80.0), ("A", 70.0), ("C", None), ("Z", 1.0)], "symbol string, base_price double")
+    ticks = of_workload(read_ticks(spark, folder, max_files=1), symbols)
+    got = drained(live_stream(ticks, PARAMS), str(tmp_path / "sink"))
+    first = {r["symbol"]: r["prev_price"] for r in got.orderBy(F.desc("timestamp")).collect()}
+    assert first == {"A": 80.0, "C": PARAMS.base_price}
+
+
+def test_replay_stream_equals_the_batch(spark, tmp_path):
+    """Files whose rows are in no order: bars by time, replay scoring and accounts as over the stored rows."""
+    from barstream.sources.readers import read_replay, stream_replay
+
+    folder = tmp_path / "replay"
+    folder.mkdir()
+    for part in range(3):
+        days = [part * 8 + (k * 5) % 8 for k in range(8)]
+        lines = [f"2024-01-{d + 1:02d},{s},{90 + (d * 7 + n * 5) % 19},120,80,{90 + (d * 11 + n * 3) % 23},{10 + d}" for d in days for n, s in enumerate("ABC")]
+        file = folder / f"part_{part}.csv"
+        file.write_text("\n".join(["ts,symbol,o,h,l,c,v", *lines, "2024-01-01,A,short", "2024-01-01,Q,1,1,1,1,1"]) + "\n")
+        os.utime(file, (1000 + part, 1000 + part))
+    known = spark.createDataFrame([("A",), ("B",), ("C",)], "symbol string")
+    stored = read_replay(spark, str(folder), known)
+    bars = batch_bars(stored, "timestamp")
+    batch = signal_records(bars, WEIGHTS, -0.02513, PARAMS, account=F.lit("main"))
+    stream = signal_stream(stream_replay(spark, str(folder), known, max_files=1), WEIGHTS, -0.02513, PARAMS, account=F.lit("main"), watermark="0 seconds")
+    out = str(tmp_path / "out")
+    start_signals(stream, out, f"{out}-checkpoint", interval=None).awaitTermination()
+    got = spark.read.parquet(f"{out}/signals")
+    columns = [c for c in batch.columns if c not in ("positions", "throughput")]
+    assert batch.count() == 72
+    nearly_equal(batch.select(columns), got.select(columns), ["symbol", "timestamp"], 1e-3)
+    listed = lambda df: {(r["symbol"], r["timestamp"]): r["positions"] for r in df.collect()}
+    assert listed(got) == listed(batch) and any(listed(got).values())
+    plain = signal_stream(stream_replay(spark, str(folder), known), WEIGHTS, -0.02513, PARAMS, replay=False, watermark="0 seconds")
+    assert "lasso_mae" not in plain.columns
