@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -22,11 +22,10 @@ from pyspark.sql import functions as F
 
 from barstream.llm.token_counts import slice_texts
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|textarea|title)(?=[\s/>])[^>]*>.*?(?:</\1(?=[\s/>])[^>]*>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|<[!?][^>]*>", re.S | re.I)
+_TAG_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_STOP = re.compile(r"[>\"']")
+#: Elements of plain text: all up to their closing tag, or the page's end.
+_RAW = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I) for tag in ("script", "style", "textarea", "title")}
 _ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 _SPACE = re.compile(r"\s+")
@@ -144,11 +143,62 @@ def _weigh_hints(blocks: list[Block]) -> None:
         block.doubt = min(block.doubt, _MOST)
 
 
+def markup(page: str) -> Iterator[tuple[int, int, bool, str | None, str]]:
+    """(begin, end, closing, tag, attributes) of everything that is not text; comments and the like have no tag.
+
+    Linear in the page: after the last ``>`` there is no more markup, and once a quote has no end before which its
+    tag could close, quotes are read as other characters from there on.
+    """
+    last, at, quotes = page.rfind(">"), 0, True
+
+    def tag_end(at: int) -> int:
+        """The place of the tag's ``>``, those in quotes left out."""
+        nonlocal quotes
+        if quotes:
+            look = at
+            while stop := _STOP.search(page, look):
+                if stop[0] == ">":
+                    return stop.start()
+                look = page.find(stop[0], stop.end()) + 1
+                if not look:
+                    break
+            quotes = False
+        return page.find(">", at)
+
+    while (at := page.find("<", at)) >= 0:
+        if page.startswith("<!--", at):
+            end = page.find("-->", at + 4)
+            end = len(page) if end < 0 else end + 3
+            yield at, end, False, None, ""
+        elif at > last:
+            return
+        elif page[at + 1] in "!?":
+            end = page.find(">", at) + 1
+            yield at, end, False, None, ""
+        else:
+            closing = page[at + 1] == "/"
+            name = _TAG_NAME.match(page, at + 1 + closing)
+            if not name:
+                at += 1
+                continue
+            tag, end = name[0].lower(), tag_end(name.end())
+            if tag in _RAW and not closing:
+                found = _RAW[tag].search(page, end + 1)
+                end = found.end() if found else len(page)
+                yield at, end, False, None, ""
+            else:
+                attributes, end = page[name.end():end], end + 1
+                end = max((yield at, end, closing, tag, attributes) or 0, end)
+        at = end
+
+
 def blocks_of(page: str) -> list[Block]:
     """The page's blocks with text, in order."""
     blocks: list[Block] = []
-    # Open elements: tag, number, good, hidden, inside an article, inside a link, named elements so far, bad elements
-    stack: list[tuple[str, int, bool, bool, bool, bool, int, tuple]] = [("", 0, False, False, False, False, 0, ())]
+    # Open elements: tag, number, good, hidden, inside an article, inside a link, named elements so far, bad elements,
+    # whether a firm one is among these, place of the nearest block element on the stack
+    stack: list[tuple] = [("", 0, False, False, False, False, 0, (), False, 0)]
+    open_tags: Counter[str] = Counter()
     number, at, current = 0, 0, None
     unclosed: set[str] = set()
 
@@ -157,10 +207,11 @@ def blocks_of(page: str) -> list[Block]:
         if current is None:
             if not text.strip():
                 return
-            holders = [e for e in stack[-12:] if e[0] in _BLOCKS] or [stack[0]]
-            above = holders[-2][1] if len(holders) > 1 else 0
-            _, _, good, hidden, inside, _, depth, around = stack[-1]
-            current = Block(holders[-1][0], above, holders[-3][1] if len(holders) > 2 else 0, good, hidden, inside, depth, around)
+            holder = stack[-1][9]
+            above = stack[holder - 1][9] if holder else 0
+            further = stack[above - 1][9] if above else 0
+            _, _, good, hidden, inside, _, depth, around, _, _ = stack[-1]
+            current = Block(stack[holder][0], stack[above][1], stack[further][1], good, hidden, inside, depth, around)
             blocks.append(current)
         current.pieces.append(text)
         if stack[-1][5]:
@@ -168,59 +219,62 @@ def blocks_of(page: str) -> list[Block]:
 
     def close(index: int):
         nonlocal current
-        if any(e[0] in _BLOCKS for e in stack[index:]):
+        if stack[-1][9] >= index:
             current = None
+        open_tags.subtract(e[0] for e in stack[index:])
         del stack[index:]
 
-    while match := _TOKEN.search(page, at):
-        if match.start() > at:
-            add(page[at:match.start()])
-        at = match.end()
-        if match[3] is None:
+    found, skip_to = markup(page), None
+    while True:
+        try:
+            begin, end, closing, tag, attributes = found.send(skip_to)
+        except StopIteration:
+            break
+        skip_to = None
+        if begin > at:
+            add(page[at:begin])
+        at = end
+        if tag is None:
             continue
-        tag = match[3].lower()
-        if match[2]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == tag:
-                    close(i)
-                    break
-            else:
-                if tag in _BLOCKS:
-                    current = None
+        if closing:
+            if open_tags[tag] > 0:
+                close(next(i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag))
+            elif tag in _BLOCKS:
+                current = None
             continue
         if tag in _SKIPPED:
-            if tag not in unclosed and not (tag == "svg" and match[4].endswith("/")):
-                if end := _SKIPPED[tag].search(page, at):
-                    at = end.end()
+            if tag not in unclosed and not (tag == "svg" and attributes.endswith("/")):
+                if over := _SKIPPED[tag].search(page, at):
+                    at = skip_to = over.end()
                 else:
                     unclosed.add(tag)
             continue
         if tag in _BLOCKS:
-            closed = _CLOSES.get(tag, set()) | {"p"}
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] in closed:
-                    close(i)
-                    break
-                if stack[i][0] in _BLOCKS:
-                    break
+            if stack[-1][9] and (stack[stack[-1][9]][0] == "p" or stack[stack[-1][9]][0] in _CLOSES.get(tag, ())):
+                close(stack[-1][9])
             current = None
         if tag in _VOID:
             if current is not None:
                 current.pieces.append(" ")
             continue
         number += 1
-        hints = _hints(tag, match[4])
-        _, _, good, hidden, inside, link, depth, around = stack[-1]
+        hints = _hints(tag, attributes)
+        _, _, good, hidden, inside, link, depth, around, firm, holder = stack[-1]
         if tag == "header" and not inside:
             hints.bad = hints.named = True
         if tag != "body" and tag != "html":
             good, hidden, depth = good or hints.good, hidden or hints.hidden, depth + hints.named
             if hints.article:  # in it, only what is nearer counts
-                around = tuple(h for h in around if h[2] and not hints.main)
+                around, firm = tuple(h for h in around if h[2] and not hints.main), firm and not hints.main
             if hints.bad:
-                around = (*around, (number, depth, tag in _FIRM_ELEMENTS))[-_REMEMBERED:]
-            inside = inside or hints.article and not any(h[2] for h in around)
-        stack.append((tag, number, good, hidden, inside, link or tag == "a", depth, around))
+                around = (*around, (number, depth, tag in _FIRM_ELEMENTS))
+                if len(around) > _REMEMBERED:  # the nearest firm one is kept in any case
+                    nearest = max((i for i, h in enumerate(around) if h[2]), default=1)
+                    around = around[1:] if nearest else (around[0], *around[2:])
+                firm = firm or tag in _FIRM_ELEMENTS
+            inside = inside or hints.article and not firm
+        open_tags[tag] += 1
+        stack.append((tag, number, good, hidden, inside, link or tag == "a", depth, around, firm, len(stack) if tag in _BLOCKS else holder))
     if at < len(page):
         add(page[at:])
     for block in blocks:

@@ -214,3 +214,44 @@ def test_columns_of_contract(spark, sf, name):
         "op6_packing": {"doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"}, "op9_html_extraction": {"page_id", "url", "text", "n_chars"},
         "op4_substring_dedup": {"doc_id", "class_id"}}
     assert wanted[name] <= set(queries.QUERIES[name](spark, sf).columns)
+
+
+@pytest.mark.parametrize("page, kept", [
+    ("<a" * 100_000, False), ("a<b " * 100_000, True), ("a<b " * 50_000 + ">", False), ("<a \">x'" * 50_000, False), ("<a '\"> " * 50_001, False),
+    ("<x y='" * 50_000 + ">", False), ("<div>x" * 20_000, False), ("<nav>x" * 20_000, False), ("<b>" * 20_000 + "<div>y</div>" * 20_000, False),
+    ("<div>" * 20_000 + "</p>" * 20_000 + "x", False), ("<p>one two three. " * 20_000, True), ("<!--" * 100_000, False), ("<svg>" * 50_000, False),
+    ("<" * 200_000 + ">", False)])
+def test_broken_pages_take_linear_time(page, kept):
+    from time import perf_counter
+
+    begin = perf_counter()
+    assert bool(main_text(page)) == kept
+    assert perf_counter() - begin < 8  # a second or so on an idle machine
+
+
+def test_deep_elements_keep_their_holders():
+    """A block under many inline elements keeps its element; an article under many bad elements in a nav is no main text."""
+    from barstream.llm.html_extraction import blocks_of
+
+    (block,) = blocks_of("<section><blockquote>" + "<b>" * 50 + "words")
+    assert block.tag == "blockquote" and block.parent == 1 and block.above == 0
+    long = "A sentence that is long enough to be the text of some article, with many words in it, and more of them. " * 2
+    page = "<nav>" + "<div class='menu'>" * 40 + f"<article><h1>No</h1><p>{long}</p><p>{long}</p></article>" + "</div>" * 40 + f"</nav><article><p>{long}</p></article>"
+    assert main_text(page) == " ".join(long.split())
+
+
+def test_stages_keep_columns_named_like_helpers(spark):
+    """Columns called as the stages' helper columns come out as they went in."""
+    from barstream.llm.decontamination import decontaminate
+    from barstream.llm.jaccard_join import near_copies_removed
+    from barstream.llm.suffix_dedup import without_repeats
+
+    shared = " ".join(f"word{i}" for i in range(90))
+    names = ["_row", "_ID", "_k1", "_k2", "_kept", "_score", "row", "id"]
+    docs = spark.createDataFrame([(i, f"text {i} {'x' * i} " + (shared if i > 2 else "short"), *[f"{n}{i}" for n in names]) for i in range(5)],
+                                 "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    items = spark.createDataFrame([(1, "no such words")], "item_id long, text string")
+    for result in (without_repeats(docs), decontaminate(docs, items), near_copies_removed(docs)):
+        assert result.columns == docs.columns
+        rows = result.collect()
+        assert len(rows) >= 3 and all(r[n] == f"{n}{r['doc_id']}" for r in rows for n in names)
