@@ -14,8 +14,8 @@ Which strings of ``MIN_BYTES`` bytes occur twice is found in groups that hold ev
 
 A seed with very many different contexts (a passage found everywhere, with other text around it) is divided by the
 place of the start: strings that begin within ten bytes share ten times more, and those of one place are
-equal or not. So no group grows with the corpus. Texts are told apart by two 64-bit hashes; equal texts are handled
-once.
+equal or not. So no group grows with the corpus. Texts are told apart by two 64-bit hashes, places of a
+seed by one; equal texts are handled once.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barstream.llm.hashing import _window_extreme, gram_hashes, signed, text_slices, winnow
-from barstream.llm.tables import record_batch, stored
+from barstream.llm.tables import free_name, record_batch, stored
 
 MIN_BYTES = 400
 STRATUM = 10           # starts of one stratum when a seed is divided
@@ -264,8 +264,9 @@ def _cut(min_bytes: int):
 def _cuts(texts: DataFrame, min_bytes: int) -> DataFrame:
     """What to remove from each text (k1, k2) that has repeated strings."""
     seed_bytes = min_bytes * 3 // 4
-    seeds = stored(texts.select(*_KEYS, "text").mapInArrow(_seeds(min_bytes, seed_bytes), "seed long, k1 long, k2 long, place int"), "seeds")
-    owner = F.struct(*_KEYS, "place")
+    # Computed twice rather than stored: seeds are many, and nearly all occur once.
+    seeds = texts.select(*_KEYS, "text").mapInArrow(_seeds(min_bytes, seed_bytes), "seed long, k1 long, k2 long, place int")
+    owner = F.xxhash64(*_KEYS, "place")
     repeated = seeds.groupBy("seed").agg(F.min(owner).alias("low"), F.max(owner).alias("high")).where(F.col("low") != F.col("high")).select("seed")
     places = seeds.join(repeated, "seed", "left_semi").groupBy(*_KEYS).agg(F.collect_set("place").alias("places"))
     some = stored(texts.select(*_KEYS, "text").join(places, _KEYS).dropDuplicates(_KEYS), "texts-with-seeds")
@@ -305,11 +306,11 @@ def repeated_bytes(documents: DataFrame, id_col: str = "doc_id", text_col: str =
 def without_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_bytes: int = MIN_BYTES) -> DataFrame:
     """``documents`` with repeated strings cut out of their texts, all rows and columns kept. Characters of which only
     some bytes are left go too. Null texts stay null."""
-    keyed = documents.withColumns({"_k1": F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))),
-                                   "_k2": F.xxhash64(F.lit(1), F.coalesce(F.col(text_col), F.lit("")))})
+    k1, k2, kept = (free_name(documents, name) for name in ("_k1", "_k2", "_kept"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    keyed = documents.withColumns({k1: F.xxhash64(text), k2: F.xxhash64(F.lit(1), text)})
     texts = _keyed(documents, id_col, text_col)
-    named = lambda df: df.withColumnsRenamed({"k1": "_k1", "k2": "_k2"})
     changes = stored(_cuts(texts, min_bytes).select(*_KEYS, "kept").join(_copies(texts, min_bytes), _KEYS, "full"), "changes").select(
-        *_KEYS, F.when(F.col("copied"), "").otherwise(F.col("kept")).alias("_kept"))
-    return keyed.join(named(changes), ["_k1", "_k2"], "left").select(
-        *[F.coalesce("_kept", text_col).alias(text_col) if c == text_col else F.col(c) for c in documents.columns])
+        F.col("k1").alias(k1), F.col("k2").alias(k2), F.when(F.col("copied"), "").otherwise(F.col("kept")).alias(kept))
+    return keyed.join(changes, [k1, k2], "left").select(
+        *[F.coalesce(kept, text_col).alias(text_col) if c == text_col else F.col(c) for c in documents.columns])
