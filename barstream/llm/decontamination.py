@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barstream.llm.hashing import ALNUM, Words, signed, text_slices, winnow
-from barstream.llm.tables import record_batch, stored
+from barstream.llm.tables import free_name, record_batch, stored
 
 WINDOW = 10
 GRAM = 5
@@ -175,6 +175,7 @@ def contamination(documents: DataFrame, items: DataFrame, id_col: str = "doc_id"
 
 def decontaminate(documents: DataFrame, items: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """Rows of ``documents`` none of whose words is hit, all columns kept; rows are judged one by one, whatever their ids."""
-    numbered = stored(documents.withColumn("_row", F.monotonically_increasing_id()), "numbered-documents")
-    hit = contamination(numbered, items, "_row", **options).where("n_hit > 0").select("_row")
-    return numbered.join(hit, "_row", "left_anti").select(*documents.columns)
+    row = free_name(documents, "_row")
+    numbered = stored(documents.withColumn(row, F.monotonically_increasing_id()), "numbered-documents")
+    hit = contamination(numbered, items, row, **options).where("n_hit > 0").select(row)
+    return numbered.join(hit, row, "left_anti").select(*documents.columns)

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from barstream.llm.graph import components
 from barstream.llm.hashing import NOT_SPACE, Words, mix, shingle_sets, signed, text_slices
-from barstream.llm.tables import record_batch, stored
+from barstream.llm.tables import free_name, record_batch, stored
 
 BUCKET_BITS = 18
 COUNTS_PER_ROW = 1 << 12
@@ -314,8 +314,10 @@ def near_copies_removed(documents: DataFrame, id_col: str = "doc_id", text_col:
                         percent: int = 80) -> DataFrame:
     """One row of each group: the one with the smallest id, nulls last, and of equal ids the first; all columns kept. Texts
     without words are in no group and stay."""
-    numbered = stored(documents.withColumn("_row", F.monotonically_increasing_id()), "numbered-documents")
-    groups = stored(jaccard_components(numbered, "_row", text_col, shingle_words, percent).select("_row", "component_id")
-                    .join(numbered.select("_row", F.col(id_col).alias("_id")), "_row"), "row-groups")
-    kept = groups.groupBy("component_id").agg(F.min(F.struct(F.col("_id").isNull(), "_id", "_row"))["_row"].alias("_row"))
-    return numbered.join(kept.select("_row"), "_row", "left_semi").select(*documents.columns)
+    row = free_name(documents, "_row")
+    numbered = stored(documents.withColumn(row, F.monotonically_increasing_id()), "numbered-documents")
+    ids = numbered.select(F.col(row).alias("row"), F.col(id_col).alias("id"))
+    groups = stored(jaccard_components(numbered, row, text_col, shingle_words, percent).select(F.col(row).alias("row"), "component_id")
+                    .join(ids, "row"), "row-groups")
+    kept = groups.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull(), "id", "row"))["row"].alias(row))
+    return numbered.join(kept.select(row), row, "left_semi").select(*documents.columns)

@@ -7,20 +7,25 @@ one's docs; all but the last return the columns of documents.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from barstream.llm.decontamination import decontaminate
 from barstream.llm.jaccard_join import near_copies_removed
 from barstream.llm.packing import pack
 from barstream.llm.quality_classifier import held_out, score, train
 from barstream.llm.suffix_dedup import without_repeats
-from barstream.llm.tables import read_table, stored
+from barstream.llm.tables import free_name, read_table, stored
+
+#: Fifty words of the texts have as many bytes or more.
+PASSAGE_BYTES = 220
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that are likelier bad than good, as learnt from the labels that are not held out."""
     labels = read_table(spark, sf_dir, "labels").where(~held_out("doc_id"))
-    scored = score(docs, train(docs, labels), score_col="_score")
-    return scored.where("_score >= 0.5").select(*docs.columns)
+    column = free_name(docs, "_score")
+    scored = score(docs, train(docs, labels), score_col=column)
+    return scored.where(F.col(column) >= 0.5).select(*docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,8 +34,8 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts strings of 400 bytes that occur more than once out of the texts."""
-    return without_repeats(docs)
+    """Cuts strings of ``PASSAGE_BYTES`` bytes that occur more than once out of the texts."""
+    return without_repeats(docs, min_bytes=PASSAGE_BYTES)
 
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
