@@ -106,6 +106,35 @@ def test_training_job_and_sweep(bars):
     assert table[0]["efficiency"] == pytest.approx(table[0]["speedup_x"] / 4)
 
 
+def test_trees_do_not_store_node_ids(train):
+    """The same trees, without a stored node id a row and level."""
+    model, storing = models.fit_gbt(train, maxIter=2), models.fit_gbt(train, maxIter=2, cacheNodeIds=True)
+    assert not model.getCacheNodeIds()
+    assert model.toDebugString.split("\n", 1)[1] == storing.toDebugString.split("\n", 1)[1]
+
+
+def test_sweep_builds_features_once(bars, monkeypatch):
+    calls = []
+    count = lambda *args, **options: calls.append(args) or stored_features(*args, **options)
+    monkeypatch.setattr("barstream.plans.training.stored_features", count)
+    monkeypatch.setattr("barstream.plans.sweep.stored_features", count, raising=False)
+    reports = scaling_sweep(bars, (0.5, 1.0), max_return=10.0, maxIter=1)
+    assert reports.count() == 4 and len(calls) == 1
+
+
+def test_moments_of_the_certificate(spark):
+    """All covariances in one pass of matrices, whatever the partitions; rows with a gap are left out."""
+    rows = [(float(i), i * i / 7.0, None if i % 5 == 0 else 1e6 + i % 3) for i in range(60)] + [(float("nan"), 1.0, 1.0)]
+    df = spark.createDataFrame(rows, "a double, b double, y double").repartition(7)
+    n, means, products = models._moments(df, ["a", "b", "y"])
+    whole = df.dropna()
+    pairs = [(i, j) for i in range(3) for j in range(3)]
+    row = whole.agg(F.count("y"), *[F.avg(c) for c in "aby"], *[F.covar_pop("aby"[i], "aby"[j]) for i, j in pairs]).first()
+    assert n == row[0] == 48
+    assert list(means) == pytest.approx(row[1:4])
+    assert [products[i, j] / n for i, j in pairs] == pytest.approx(row[4:], rel=1e-9)
+
+
 def test_auc_with_ties_against_pairs(spark):
     rows = [(float(y), s / 10) for y, s in [(1, 9), (0, 9), (1, 7), (1, 5), (0, 5), (0, 5), (0, 2), (1, 2)]]
     wins = [(1.0 if p > n else 0.5 if p == n else 0.0)
