@@ -7,14 +7,16 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 
+from barstream import schemas as S
 from barstream.operators.metrics import pair_runs
-from barstream.plans.training import run_training
+from barstream.plans.training import run_training, stored_features
 
 
 def scaling_sweep(bars: DataFrame, fractions: Sequence[float] = (0.25, 0.5, 0.75, 1.0),
-                  **options) -> DataFrame:
-    """Report rows of every run, one per share and mode."""
-    reports = [run_training(bars, fraction, concurrent, **options)["report"]
+                  max_return: float = S.MAX_ABS_TARGET_RETURN, **options) -> DataFrame:
+    """Report rows of every run, one per share and mode; all runs read the same stored features."""
+    stored = stored_features(bars, max_return=max_return)
+    reports = [run_training(bars, fraction, concurrent, max_return, stored, **options)["report"]
                for fraction in fractions for concurrent in (False, True)]
     return reduce(DataFrame.unionByName, reports)
 
