@@ -1,5 +1,6 @@
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -166,6 +167,23 @@ def test_positions_after_every_batch(spark, options):
     assert portfolio.positions(book).count() == len({(r["portfolio_id"], r["timestamp"]) for r in rows})
 
 
+@pytest.mark.parametrize("size", [1, 3, 1000])
+def test_ledger_reads_batches_without_scalars(monkeypatch, size):
+    """Rows alone with their time, shared times and gaps, cut into batches anywhere: as one account after the other."""
+    rows = [("p", "A", 1, 10.0, "BUY"), ("p", "A", 2, 20.0, "BUY"), ("p", "B", 2, 5.0, "BUY"), ("p", "A", 3, None, "SELL"),
+            ("p", "A", 4, 30.0, "SELL"), ("q", "A", 4, 7.0, "BUY"), ("q", None, 5, 7.0, "BUY"), (None, "A", 6, 7.0, "BUY")]
+    types = [pa.string(), pa.string(), pa.int64(), pa.float64(), pa.string(), pa.string()]
+    batches = [[pa.array(c, t) for c, t in zip(zip(*((*r, None) for r in rows[i:i + size])), types)] for i in range(0, len(rows), size)]
+    scalars = []
+    monkeypatch.setattr(portfolio, "_values", lambda c, real=portfolio._values: (scalars.append(type(c)), real(c))[1], raising=True)
+    out = [r for part in portfolio._ledger_batches(ON, False)(iter(batches)) for r in part.to_pylist()]
+    assert len(scalars) == 6 * len(batches)
+    assert [(r["shares_traded"], r["shares_held"], r["cash"], r["portfolio_value"], r["ledger_row"], r["positions"]) for r in out] == [
+        (1, 1, 90.0, 100.0, 1, [("A", 1)]), (1, 2, 70.0, 110.0, 2, None), (1, 1, 65.0, 110.0, 3, [("A", 2), ("B", 1)]),
+        (0, None, None, None, None, None), (1, 1, 95.0, 130.0, 4, [("A", 1), ("B", 1)]),
+        (1, 1, 93.0, 100.0, 1, [("A", 1)]), (0, None, None, None, None, None), (0, None, None, None, None, None)]
+
+
 def test_no_window_without_partition(spark, capsys):
     """Neither slicing accounts nor prefix sums put all rows in one task."""
     from barstream.operators.series import prefix_sums
