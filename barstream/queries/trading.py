@@ -24,9 +24,10 @@ RISK = JobParams(use_macd=False, auto_trade=True, position_sizing="percentage")
 def _ledger(spark, sf, params: JobParams = FIXED):
     bars = X.bars(spark, sf)
     account = F.col("symbol")
-    scored = scored_bars(bars, B.WEIGHTS, B.INTERCEPT, params).select(
+    rows = X.bar_rows(spark, sf)
+    scored = scored_bars(bars, B.WEIGHTS, B.INTERCEPT, params, bound=rows).select(
         account.alias("portfolio_id"), "symbol", "timestamp", "Close", "signal")
-    layout = portfolio.account_layout(bars.withColumn("portfolio_id", account))
+    layout = portfolio.account_layout(bars.withColumn("portfolio_id", account), bound=rows.withColumn("portfolio_id", account))
     return portfolio.paper_trade(scored, params, layout=layout)
 
 
@@ -189,9 +190,10 @@ def t2_shared_account(spark, sf):
     """Accounts that trade three symbols each from one pot of cash."""
     account = F.floor(F.col("symbol").cast("int") / 3).cast("string")
     bars = X.bars(spark, sf)
-    scored = scored_bars(bars, B.WEIGHTS, B.INTERCEPT, FIXED).select(
+    rows = X.bar_rows(spark, sf)
+    scored = scored_bars(bars, B.WEIGHTS, B.INTERCEPT, FIXED, bound=rows).select(
         account.alias("portfolio_id"), "symbol", "timestamp", "Close", "signal")
-    layout = portfolio.account_layout(bars.withColumn("portfolio_id", account))
+    layout = portfolio.account_layout(bars.withColumn("portfolio_id", account), bound=rows.withColumn("portfolio_id", account))
     return shaped(portfolio.paper_trade(scored, FIXED, layout=layout), _SHARED)
 
 

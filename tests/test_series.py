@@ -89,3 +89,16 @@ def test_one_shuffle_serves_all_windows(spark, sf):
     plan = scored._jdf.queryExecution().executedPlan().toString()
     # One shuffle builds the bars, one serves windows and MACD together.
     assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_bound_spares_counting_the_rows_themselves(spark, skewed):
+    """A table with at least as many rows decides when it has no long series; otherwise the rows are counted as before."""
+    def never(x):
+        raise AssertionError("computed")
+
+    unread = skewed.withColumn("symbol", F.udf(never)("symbol"))
+    assert not measure_series(unread, back=3, max_rows=1000, bound=skewed).long
+    assert not measure_series(skewed.limit(0), back=3, bound=skewed.limit(0)).long
+    twice = skewed.unionAll(skewed)
+    assert not measure_series(skewed, back=3, max_rows=900, bound=twice).long
+    assert measure_series(skewed, back=3, max_rows=100, bound=twice).long
