@@ -7,6 +7,7 @@ from barstream.operators import features, indicators, signals
 from barstream.operators.series import measure_series
 from barstream.params import JobParams
 from barstream.plans.live import replayed_bars
+from barstream.sources import fixtures
 from conftest import nearly_equal
 
 KEYS = ["symbol", "timestamp", "replica"]
@@ -102,3 +103,12 @@ def test_bound_spares_counting_the_rows_themselves(spark, skewed):
     twice = skewed.unionAll(skewed)
     assert not measure_series(skewed, back=3, max_rows=900, bound=twice).long
     assert measure_series(skewed, back=3, max_rows=100, bound=twice).long
+
+
+def test_bars_of_short_symbols_shuffle_once(spark, sf, capsys):
+    """Grouping and windows by symbol share the shuffle of the line items; with a long symbol they do not."""
+    once, cut = fixtures.short_bars(spark, sf), fixtures.short_bars(spark, sf, max_rows=5)
+    assert once.exceptAll(cut).isEmpty() and cut.exceptAll(once).isEmpty() and once.count() == cut.count()
+    for bars, shuffles in ((once, 1), (cut, 2)):
+        features.rolling_features(bars, measure_series(bars, back=30)).explain()
+        assert capsys.readouterr().out.count("Exchange hashpartitioning") == shuffles
