@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from barstream.operators import features, indicators, signals
 from barstream.operators.series import measure_series
 from barstream.params import JobParams
-from barstream.plans.live import replayed_bars
+from barstream.plans.live import replayed_bars, signal_records
 from barstream.sources import fixtures
 from conftest import nearly_equal
 
@@ -112,3 +112,15 @@ def test_bars_of_short_symbols_shuffle_once(spark, sf, capsys):
     for bars, shuffles in ((once, 1), (cut, 2)):
         features.rolling_features(bars, measure_series(bars, back=30)).explain()
         assert capsys.readouterr().out.count("Exchange hashpartitioning") == shuffles
+
+
+def test_records_are_not_shuffled_by_time(spark, sf, capsys):
+    """The table of batch sizes is broadcast by its count, whatever Spark expects of its size."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        signal_records(fixtures.bars(spark, sf), WEIGHTS, 0.0, JobParams(use_macd=False)).explain()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    plan = capsys.readouterr().out
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
