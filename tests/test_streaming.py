@@ -241,3 +241,78 @@ def test_replay_stream_equals_the_batch(spark, tmp_path):
     assert listed(got) == listed(batch) and any(listed(got).values())
     plain = signal_stream(stream_replay(spark, str(folder), known), WEIGHTS, -0.02513, PARAMS, replay=False, watermark="0 seconds")
     assert "lasso_mae" not in plain.columns
+
+
+def test_state_of_many_symbols_is_kept_in_few_groups(spark, tmp_path):
+    """A call costs milliseconds, so there must not be one for each symbol."""
+    from barstream.streaming.state import BUCKETS
+
+    folder, out = tmp_path / "ticks", str(tmp_path / "out")
+    folder.mkdir()
+    for batch in range(2):
+        (folder / f"{batch}.csv").write_text("".join(
+            f"2024-01-01T00:0{batch}:00.000Z,S{n},1,1,1,{n + 1 + batch},5,\n" for n in range(2 * BUCKETS)))
+        stream = live_stream(read_ticks(spark, str(folder), max_files=1), PARAMS)
+        query = start_rows(stream, out, f"{out}-checkpoint", interval=None)
+        query.awaitTermination()
+        kept = max(operator.numRowsTotal for progress in query.recentProgress for operator in progress.stateOperators)
+        assert 0 < kept <= BUCKETS
+    rows = {(r["symbol"], r["timestamp"].minute): r for r in spark.read.parquet(out).collect()}
+    assert len(rows) == 4 * BUCKETS
+    for n in range(2 * BUCKETS):
+        assert rows[f"S{n}", 0]["prev_price"] == 100.0
+        assert rows[f"S{n}", 1]["prev_price"] == n + 1 and rows[f"S{n}", 1]["sma"] == n + 1.5
+
+
+class _Handle:
+    """A value state in memory, as processors ask for one."""
+
+    def __init__(self):
+        self.value = None
+
+    def getValueState(self, name, schema):
+        return self
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+
+def test_bars_of_a_bucket_in_parts_and_at_once(spark):
+    """Symbols of a bucket do not mix, however its bars are dealt over micro-batches; volumes may be missing."""
+    import numpy as np
+    import pandas as pd
+    from barstream.streaming.state import PARTIAL, LiveFeatureProcessor, _PRICES
+
+    rng = np.random.default_rng(5)
+    frames = []
+    for symbol, bars in (("A", 90), ("B", 1), ("C", 41), (None, 7)):
+        values = {f"{c}_{part}": rng.uniform(5, 9, bars) if part == "sum" else np.ones(bars) for c in _PRICES for part in ("sum", "n")}
+        values["Volume_n"][::4], values["Volume_sum"][::4] = 0, 0
+        frames.append(pd.DataFrame({"symbol": [symbol] * bars, "timestamp": pd.date_range("2024-01-01", periods=bars), **values,
+                                    "Close_m2": 0.0, "base_price": np.nan})[PARTIAL.fieldNames()])
+    whole = pd.concat(frames, ignore_index=True)
+
+    def worked(rows, handle):
+        processor = LiveFeatureProcessor(JobParams(), by_time=True)
+        processor.init(handle)
+        return [out for some in rows for out in processor.handleInputRows((0,), iter([some.sample(frac=1, random_state=1)]), None)]
+
+    at_once = pd.concat(worked([whole], _Handle()))
+    handle = _Handle()
+    parts = pd.concat(worked([p for _, p in whole.groupby(whole["timestamp"].dt.dayofyear // 13)], handle))
+    alone = pd.concat([out for frame in frames for out in worked([frame], _Handle())])
+    order = ["symbol", "timestamp"]
+    for other in (parts, alone):
+        pd.testing.assert_frame_equal(at_once.sort_values(order, ignore_index=True), other.sort_values(order, ignore_index=True), rtol=1e-9)
+    a = at_once[at_once["symbol"] == "A"].sort_values("timestamp")
+    assert np.allclose(a["sma"], a["Close"].rolling(20, min_periods=1).mean())
+    assert np.allclose(a["vol_ma_10"], a["Volume"].rolling(10, min_periods=1).mean(), equal_nan=True)
+    fast, slow = (a["Close"].ewm(span=n, adjust=False).mean() for n in (12, 26))
+    assert np.allclose(a["macd_signal"], (fast - slow).ewm(span=9, adjust=False).mean())
+    assert worked([whole.iloc[:1]], handle) == []
