@@ -19,6 +19,11 @@ beyond b. Where the first is too little, they are candidates only if they share
 a join of what followers have beyond their leaders. So the far members of a large group are not held against all of it.
 Tokens with the same holders, as those of a common passage, are joined once. Verification is exact: on the whole sets,
 or for followers of one leader on what each has beyond it and lacks of it.
+
+Where the leader is itself a changed copy, its followers share much that it lacks. So before that join, rounds hold the
+followers that share a token beyond it against the one nearest to it, which takes at most one pair a row. In the joins, two
+followers of one leader must also have nearly the same bits (a few fixed words that mark what each has beyond it and lacks
+of it): where bits differ, the sets do.
 """
 
 from __future__ import annotations
@@ -32,7 +37,7 @@ from pyspark.sql import functions as F
 
 from barstream.llm.graph import components
 from barstream.llm.hashing import NOT_SPACE, Words, mix, shingle_sets, signed, text_slices
-from barstream.llm.tables import free_name, record_batch, stored
+from barstream.llm.tables import drop_stored, free_name, record_batch, stored
 
 BUCKET_BITS = 18
 COUNTS_PER_ROW = 1 << 12
@@ -40,7 +45,9 @@ MAX_MATCHES = 6
 SEEN_NODES = 100_000    # nodes a task remembers so as not to repeat a copy's prefix; more only cost repeats
 VERIFY_COST = 0.05      # of one shingle in a verification, against reading one posting
 FILTER_BITS = 23
-FOLLOW_MARGIN = 10      # a node that misses the threshold to its leader by more is compared as if it had none
+TOKEN_BITS = 256
+MAX_ROUNDS = 4          # of further leaders; what they leave is joined exactly
+FOLLOW_MARGIN = 30      # a node that misses the threshold to its leader by more is compared as if it had none
 
 
 def _bucket(tokens: np.ndarray) -> np.ndarray:
@@ -120,7 +127,7 @@ def _prefixes(size: int, percent: int, table):
         seen: set[int] = set()
         for batch in batches:
             for first, last, data, offsets in text_slices(batch.column(0)):
-                token, node, n, need = [], [], [], []
+                token, node, n, need, length = [], [], [], [], []
                 for tokens in shingle_sets(Words(data, offsets, NOT_SPACE), size):
                     if not len(tokens) or (own := _node(tokens)) in seen:
                         continue
@@ -130,13 +137,15 @@ def _prefixes(size: int, percent: int, table):
                     prefix, matches = adaptive_prefix(tokens, counts, usual, percent)
                     token.append(signed(prefix)), node.append(np.full(len(prefix), own))
                     n.append(np.full(len(prefix), len(tokens), np.int32)), need.append(np.full(len(prefix), matches, np.int32))
+                    length.append(np.full(len(prefix), len(prefix), np.int32))
                 if token:
-                    yield record_batch(token=np.concatenate(token), node=np.concatenate(node), n=np.concatenate(n), need=np.concatenate(need))
+                    yield record_batch(token=np.concatenate(token), node=np.concatenate(node), n=np.concatenate(n), need=np.concatenate(need),
+                                       length=np.concatenate(length))
     return run
 
 
-def _sets(size: int, wanted):
-    """(node, its shingles) of the texts whose content hash may be wanted."""
+def _texts(size: int, wanted):
+    """(node, its text) of the texts whose content hash may be wanted."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = wanted.value
         seen: set[int] = set()
@@ -145,26 +154,43 @@ def _sets(size: int, wanted):
             passed = np.flatnonzero(bits[slot.astype(np.int64)])
             if not len(passed):
                 continue
-            for _, _, data, offsets in text_slices(batch.column(1).take(pa.array(passed))):
-                nodes, sets = [], []
-                for tokens in shingle_sets(Words(data, offsets, NOT_SPACE), size):
+            texts = batch.column(1).take(pa.array(passed))
+            for first, _, data, offsets in text_slices(texts):
+                nodes, places = [], []
+                for i, tokens in enumerate(shingle_sets(Words(data, offsets, NOT_SPACE), size), first):
                     if len(tokens) and (own := _node(tokens)) not in seen:
                         if len(seen) >= SEEN_NODES:
                             seen.clear()
                         seen.add(own)
-                        nodes.append(own), sets.append(tokens.tobytes())
-                for i in range(0, len(nodes), 100):
-                    yield record_batch(node=pa.array(nodes[i:i + 100], pa.int64()), tokens=pa.array(sets[i:i + 100], pa.binary()))
+                        nodes.append(own), places.append(i)
+                if nodes:
+                    yield record_batch(node=pa.array(nodes, pa.int64()), text=texts.take(pa.array(places)))
     return run
 
 
-def _compared(follow: int):
-    """Set sizes, common tokens, and what a has beyond b and lacks of it, of every pair."""
+def _sets_of(nodes: pa.Array, texts: pa.Array, size: int) -> list[np.ndarray]:
+    """Each row's shingles; successive rows of one node share them."""
+    nodes = nodes.to_numpy()
+    begins = np.diff(nodes, prepend=~nodes[:1]) != 0
+    sets = []
+    for _, _, data, offsets in text_slices(texts.filter(pa.array(begins))):
+        sets += shingle_sets(Words(data, offsets, NOT_SPACE), size)
+    return [sets[i] for i in np.cumsum(begins) - 1]
+
+
+def _bits(tokens: np.ndarray) -> np.ndarray:
+    """``TOKEN_BITS`` bits, those of the tokens' slots set: where two sets' bits differ, one has a token that the other has not."""
+    slots = np.zeros(TOKEN_BITS, bool)
+    slots[(tokens % np.uint64(TOKEN_BITS)).astype(np.int64)] = True
+    return np.packbits(slots).view(np.int64)
+
+
+def _compared(size: int, follow: int):
+    """Set sizes, common tokens, and what a has beyond b and lacks of it, of every pair; bits of the latter two together."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a_n, b_n, both, beyond, lacking = [], [], [], [], []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+            a_n, b_n, both, beyond, lacking, bits = [], [], [], [], [], []
+            for x, y in zip(_sets_of(batch.column(0), batch.column(2), size), _sets_of(batch.column(1), batch.column(3), size)):
                 place = np.searchsorted(y, x)
                 place[place == len(y)] = 0
                 found = y[place] == x
@@ -172,27 +198,29 @@ def _compared(follow: int):
                 follows = 100 * both[-1] >= follow * (len(x) + len(y) - both[-1])
                 beyond.append(signed(x[~found]) if follows else [])
                 lacking.append(signed(np.delete(y, place[found])) if follows else [])
+                bits.append(_bits(np.concatenate([x[~found], np.delete(y, place[found])])) if follows else [])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(a_n, pa.int64()), pa.array(b_n, pa.int64()), pa.array(both, pa.int64()),
-                 pa.array(beyond, pa.list_(pa.int64())), pa.array(lacking, pa.list_(pa.int64()))],
-                names=["a", "b", "a_n", "b_n", "both", "beyond", "lacking"])
+                 pa.array(beyond, pa.list_(pa.int64())), pa.array(lacking, pa.list_(pa.int64())), pa.array(bits, pa.list_(pa.int64()))],
+                names=["a", "b", "a_n", "b_n", "both", "beyond", "lacking", "bits"])
     return run
 
 
 def _comparisons(pairs: DataFrame, read: DataFrame, contents: DataFrame, size: int, percent: int) -> DataFrame:
-    """Exact comparisons (a, b, a_n, b_n, both, beyond, lacking) of pairs of nodes."""
+    """Exact comparisons (a, b, a_n, b_n, both, beyond, lacking, bits) of pairs of nodes."""
     nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     slots = (contents.join(nodes, "node").select(F.shiftrightunsigned("content", 64 - FILTER_BITS).alias("s"))
              .groupBy(F.shiftright("s", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(s & 63 as int)))").alias("bits")).toArrow())
     bits = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
     bits[slots["word"].to_numpy()] = slots["bits"].to_numpy().view(np.uint64)
     wanted = read.sparkSession.sparkContext.broadcast(np.unpackbits(bits.view(np.uint8), bitorder="little").astype(bool))
-    sets = (read.select("content", "text").mapInArrow(_sets(size, wanted), "node long, tokens binary")
-            .groupBy("node").agg(F.first("tokens").alias("tokens")))
-    return (pairs.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("a_tokens")), "a")
-            .join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("b_tokens")), "b")
-            .select("a", "b", "a_tokens", "b_tokens")
-            .mapInArrow(_compared(percent - FOLLOW_MARGIN), "a long, b long, a_n long, b_n long, both long, beyond array<long>, lacking array<long>"))
+    # Texts are moved, not shingles: these take several times the bytes.
+    texts = (read.select("content", "text").mapInArrow(_texts(size, wanted), "node long, text string")
+             .groupBy("node").agg(F.first("text").alias("text")))
+    return (pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("a_text")), "a")
+            .join(texts.select(F.col("node").alias("b"), F.col("text").alias("b_text")), "b")
+            .select("a", "b", "a_text", "b_text")
+            .mapInArrow(_compared(size, percent - FOLLOW_MARGIN), "a long, b long, a_n long, b_n long, both long, beyond array<long>, lacking array<long>, bits array<long>"))
 
 
 def _reaches(percent: int, both: Column, n: Column, m: Column) -> Column:
@@ -224,7 +252,7 @@ def _across(rows: DataFrame, keys: list[str], percent: int, beyond: bool) -> Dat
     largest = (members.groupBy(*keys).agg(F.max(F.struct("members", "component"))["component"].alias("largest"), F.count("*").alias("groups"))
                .where("groups > 1").select(*keys, "largest"))
     mixed = rows.join(largest, keys)
-    fields = ["node", "n", "need", "component", "leader", "both"]
+    fields = ["node", "n", "need", "component", "leader", "both", "bits"]
     side = lambda name: [F.col(f).alias(f"{name}_{f}") for f in fields]
     outside = mixed.where("component <> largest").select(*keys, "weight", *side("a"))
     inside = mixed.select(*keys, *side("b"), (F.col("component") == F.col("largest")).alias("b_largest"))
@@ -233,16 +261,38 @@ def _across(rows: DataFrame, keys: list[str], percent: int, beyond: bool) -> Dat
     ends = [F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")]
     of_leader = F.least("a_both", "b_both")
     enough = lambda common: _reaches(percent, common, F.col("a_n"), F.col("b_n"))
+    # Followers of one leader differ in what one has beyond it or lacks of it and the other has not: at least where their bits do.
+    differ = sum((F.bit_count(F.col("a_bits")[i].bitwiseXOR(F.col("b_bits")[i])) for i in range(TOKEN_BITS // 64)), F.lit(0))
+    alike = enough((F.col("a_n") + F.col("b_n") - differ) / 2)
     if beyond:
         most = of_leader + F.least(F.col("a_n") - F.col("a_both"), F.col("b_n") - F.col("b_both"))
-        return (pairs.where(~enough(of_leader) & enough(most)).groupBy(*ends, (F.col("a_n") + F.col("b_n")).alias("sizes"), of_leader.alias("of_leader"))
+        return (pairs.where(~enough(of_leader) & enough(most) & alike).groupBy(*ends, (F.col("a_n") + F.col("b_n")).alias("sizes"), of_leader.alias("of_leader"))
                 .agg(F.sum("weight").alias("matches")).where(_reaches(percent, F.col("of_leader") + F.col("matches"), F.col("sizes"), F.lit(0))).select("a", "b"))
-    hopeless = (F.col("a_leader") == F.col("b_leader")) & ~enough(of_leader)
+    hopeless = (F.col("a_leader") == F.col("b_leader")) & ~(enough(of_leader) & alike)
     return (pairs.where(~F.coalesce(hopeless, F.lit(False)))
             .groupBy(*ends, F.least("a_need", "b_need").alias("need")).agg(F.sum("weight").alias("matches"))
             .where("matches >= need").select("a", "b"))
 
 
+def _links_of_followers(pairs: DataFrame, follows: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs (a, b) of followers of one leader that link, by what each has beyond the leader and lacks of it."""
+    one = lambda name: follows.select(F.col("a").alias(name), F.col("a_n").alias(f"{name}_n"), F.col("b_n").alias("leader_n"),
+                                      F.col("beyond").alias(f"{name}_beyond"), F.col("lacking").alias(f"{name}_lacking"))
+    both = (F.col("leader_n") - F.size(F.array_union("a_lacking", "b_lacking"))
+            + F.size(F.array_intersect("a_beyond", "b_beyond")))
+    return (pairs.join(one("a"), "a").join(one("b").drop("leader_n"), "b")
+            .where(_reaches(percent, both, F.col("a_n"), F.col("b_n"))).select("a", "b"))
+
+
+def _next_leaders(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Pairs of a node outside a key's largest group and the most central member of that group: one a row at most."""
+    by_group = rows.groupBy(*keys, "component").agg(F.count("*").alias("members"), F.max(F.struct("rank", "node")).alias("central"))
+    largest = (by_group.groupBy(*keys).agg(F.max(F.struct("members", "component", "central")).alias("largest"), F.count("*").alias("groups"))
+               .where("groups > 1").select(*keys, "largest"))
+    return (rows.join(largest, keys).where(F.col("component") != F.col("largest.component"))
+            .select(F.col("node").alias("a"), F.col("largest.central.node").alias("b"), "weight", "leader"))
+
+
 def jaccard_components(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3,
                        percent: int = 90) -> DataFrame:
     """Per row of ``documents``: id, n_shingles, component_id.
@@ -261,15 +311,14 @@ def jaccard_components(documents: DataFrame, id_col: str = "doc_id", text_col: s
     documents_of = measured.where("part is null").select("id", "content", "n", "node")
     counts = spark.sparkContext.broadcast(_bucket_counts(measured.where("part is not null")))
     prefixes = stored(read.select("text").mapInArrow(
-        _prefixes(shingle_words, percent, counts), "token long, node long, n int, need int"), "prefixes")
+        _prefixes(shingle_words, percent, counts), "token long, node long, n int, need int, length int"), "prefixes")
     shared = (prefixes.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high"))
               .where("low <> high"))
     postings = prefixes.join(shared.select("token"), "token", "left_semi").distinct()
     # The share of a node's prefix that others have: near 1 in the text that copies were made from.
-    lengths = prefixes.groupBy("node").agg(F.count_distinct("token").alias("length"))
-    central = (postings.groupBy("node").agg(F.count("*").alias("held")).join(lengths, "node")
-               .select("node", F.round(F.col("held") / F.col("length"), 2).alias("share")))
-    postings = stored(postings.join(central, "node"), "postings")
+    central = postings.groupBy("node").agg(F.round(F.count("*") / F.max("length"), 2).alias("share"))
+    postings = stored(postings.drop("length").join(central, "node"), "postings")
+    drop_stored(prefixes)
     contents = documents_of.groupBy("node").agg(F.min("content").alias("content"))
 
     leaders = postings.groupBy("token").agg(F.max(F.struct("share", "node", "n")).alias("leader"))
@@ -279,29 +328,33 @@ def jaccard_components(documents: DataFrame, id_col: str = "doc_id", text_col: s
     stars = to_leader.groupBy("node").agg(F.max(F.struct("matches", "leader"))["leader"].alias("leader"))
     stars = stored(stars.select(F.col("node").alias("a"), F.col("leader").alias("b")), "stars")
     compared = stored(_comparisons(stars, read, contents, shingle_words, percent), "compared")
-    star_links = compared.where(_reaches(percent, F.col("both"), F.col("a_n"), F.col("b_n"))).select("a", "b")
-    groups = components(star_links)
+    links = compared.where(_reaches(percent, F.col("both"), F.col("a_n"), F.col("b_n"))).select("a", "b")
+    groups = components(links)
 
     follows = compared.where(100 * F.col("both") >= (percent - FOLLOW_MARGIN) * (F.col("a_n") + F.col("b_n") - F.col("both")))
-    place = lambda rows: (rows.join(groups, "node", "left")
-                          .withColumn("component", F.coalesce("component", "node")))
-    placed = stored(place(postings.drop("share").join(
-        follows.select(F.col("a").alias("node"), F.col("b").alias("leader"), "both"), "node", "left")), "placed")
-    beyond = place(follows.select(F.col("a").alias("node"), F.col("b").alias("leader"), F.col("b").alias("by"), F.col("a_n").alias("n"), "both",
-                                  F.lit(1).alias("need"), F.explode("beyond").alias("token")))
-    across = stored(_across(_merged(placed, ["token"]), ["token"], percent, beyond=False).distinct(), "across")
-    of_followers = _across(_merged(stored(beyond, "beyond"), ["by", "token"]), ["by", "token"], percent, beyond=True)
-    one = lambda name: follows.select(F.col("a").alias(name), F.col("a_n").alias(f"{name}_n"), F.col("b_n").alias("leader_n"),
-                                      F.col("beyond").alias(f"{name}_beyond"), F.col("lacking").alias(f"{name}_lacking"))
-    both = (F.col("leader_n") - F.size(F.array_union("a_lacking", "b_lacking"))
-            + F.size(F.array_intersect("a_beyond", "b_beyond")))
-    links = stored(star_links.unionByName(
-        of_followers.join(one("a"), "a").join(one("b").drop("leader_n"), "b")
-        .where(_reaches(percent, both, F.col("a_n"), F.col("b_n"))).select("a", "b")), "links")
+    leader_of = follows.select(F.col("a").alias("node"), F.col("b").alias("leader"), "both", "bits")
+    placed = lambda rows: rows.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    # The nearer to its leader, the fewer changes of its own a follower has, so the nearer it is to the others.
+    beyond = stored(_merged(stored(
+        follows.select(F.col("a").alias("node"), F.col("b").alias("leader"), F.col("b").alias("by"), F.col("a_n").alias("n"), "both", "bits", F.lit(1).alias("need"),
+                       (-F.size("beyond") - F.size("lacking")).alias("rank"), F.explode("beyond").alias("token")), "beyond"), ["by", "token"]), "beyond-merged")
+    for _ in range(MAX_ROUNDS):
+        nearer = _next_leaders(placed(beyond), ["by", "token"]).select("a", "b").distinct()
+        more = stored(_links_of_followers(nearer, follows, percent), "more")
+        if more.isEmpty():
+            break
+        links = stored(links.unionByName(more), "links")
+        groups = components(links)
+
+    of_nodes = stored(_merged(postings.withColumnRenamed("share", "rank").join(leader_of, "node", "left"), ["token"]), "postings-merged")
+    across = stored(_across(placed(of_nodes), ["token"], percent, beyond=False).distinct(), "across")
+    of_followers = _across(placed(beyond), ["by", "token"], percent, beyond=True)
+    links = stored(links.unionByName(_links_of_followers(of_followers, follows, percent)), "links")
     if not across.isEmpty():
         found = _comparisons(across, read, contents, shingle_words, percent).where(_reaches(percent, F.col("both"), F.col("a_n"), F.col("b_n")))
         links = stored(links.unionByName(found.select("a", "b")), "links")
     groups = components(links)
+    drop_stored(postings, compared, beyond, of_nodes, across)
 
     grouped = documents_of.join(groups, "node", "left").withColumn("group", F.coalesce("component", "node"))
     least = grouped.where("group is not null").groupBy("group").agg(F.min("id").alias("least"))

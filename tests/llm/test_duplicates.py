@@ -9,7 +9,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from barstream.llm import suffix_dedup
+from barstream.llm import jaccard_join, suffix_dedup
 from barstream.llm.decontamination import contamination, decontaminate
 from barstream.llm.graph import components
 from barstream.llm.jaccard_join import adaptive_prefix, jaccard_components, near_copies_removed
@@ -299,3 +299,25 @@ def test_contamination(spark, window, gram):
     assert sorted(r.doc_id for r in clean.collect()) == sorted(i for i, _, n, _ in want if not n and i is not None)
     assert contamination(documents, items.limit(0)).where("n_hit > 0").count() == 0
     assert contamination(documents.limit(0), items).count() == 0
+
+
+def test_followers_of_a_changed_copy_are_not_joined_in_pairs(spark, monkeypatch):
+    """Copies share what their leader lacks: all link with the nearest of them, so few pairs are left to the join."""
+    word = lambda kind, *i: f"{kind}{'x'.join(map(str, i))}"
+    leader = [word("w", i) for i in range(100)]
+    near = [[*leader[:90], word("near", k), *leader[91:]] for k in range(12)]
+    copies = [[*leader[:92], *(word("shared", i) for i in range(4)), *(word("own", k, i) for i in range(4))] for k in range(40)]
+    rows = [(i, " ".join(words)) for i, words in enumerate([leader, *near, *copies])]
+    asked = []
+    links = jaccard_join._links_of_followers
+    monkeypatch.setattr(jaccard_join, "_links_of_followers", lambda pairs, *rest: asked.append(pairs.count()) or links(pairs, *rest))
+    found = jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), shingle_words=1)
+    assert sorted(map(tuple, found.collect())) == sorted(grouped(rows, 1, 90))
+    assert 0 < sum(asked) <= 3 * len(rows)
+
+
+@given(st.sets(st.integers(0, (1 << 64) - 1), max_size=60), st.sets(st.integers(0, (1 << 64) - 1), max_size=60))
+def test_bits_differ_no_more_than_sets(x, y):
+    bits = [jaccard_join._bits(np.array(sorted(s), np.uint64)).view(np.uint64) for s in (x, y)]
+    assert len(bits[0]) * 64 == jaccard_join.TOKEN_BITS
+    assert sum(int(w).bit_count() for w in bits[0] ^ bits[1]) <= len(x ^ y)
