@@ -1,6 +1,7 @@
 """Jaccard groups, repeated bytes, passages and decontamination against brute force."""
 
 import hashlib
+import os
 import re
 from collections import Counter, defaultdict
 
@@ -15,6 +16,7 @@ from barstream.llm.graph import components
 from barstream.llm.jaccard_join import adaptive_prefix, jaccard_components, near_copies_removed
 from barstream.llm.passages import _SALTS, compact_windows, near_duplicate_passages, passage_groups
 from barstream.llm.hashing import mix
+from barstream.llm.tables import stored
 
 
 def lowered_words(text, pattern=rb"[^\x20\x09-\x0D]+"):
@@ -321,3 +323,22 @@ def test_bits_differ_no_more_than_sets(x, y):
     bits = [jaccard_join._bits(np.array(sorted(s), np.uint64)).view(np.uint64) for s in (x, y)]
     assert len(bits[0]) * 64 == jaccard_join.TOKEN_BITS
     assert sum(int(w).bit_count() for w in bits[0] ^ bits[1]) <= len(x ^ y)
+
+
+def test_seeds_of_shorter_strings_are_few():
+    """A string of 220 bytes, as in the pipeline, has one seed in some fifty bytes, as one of 400 has."""
+    assert suffix_dedup.SLACK == 100
+    text = bytes(np.random.default_rng(5).integers(97, 123, 100_000, np.uint8)).decode()
+    batch = suffix_dedup.record_batch(k1=[1], k2=[1], text=[text])
+    seeds = sum(b.num_rows for b in suffix_dedup._seeds(220, 120)(iter([batch])))
+    assert seeds < 2.2 * len(text) / suffix_dedup.SLACK
+
+
+def test_tables_in_between_are_dropped(spark, documents, monkeypatch):
+    made = []
+    keep = lambda df, label: made.append((label, stored(df, label))) or made[-1][1]
+    monkeypatch.setattr(suffix_dedup, "stored", keep)
+    rows = suffix_dedup.repeated_bytes(documents, min_bytes=220).count()
+    assert rows == documents.count()
+    there = lambda table: any(os.path.exists(f.removeprefix("file://")) for f in table.inputFiles())
+    assert [label for label, table in made if there(table)] == ["cuts"]
