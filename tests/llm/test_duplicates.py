@@ -268,6 +268,47 @@ def test_passages_of_families_are_those_of_all_pairs(spark):
         assert len(spans[row.doc_id] - found) <= 10
 
 
+def test_common_phrases_make_no_pairs_of_whole_texts(spark, monkeypatch):
+    """Texts that share a sentence and no passage are told apart before their shingles are moved."""
+    from barstream.llm import passages as p
+    from tests.llm.conftest import words
+    sentence, compared, inner = words(14, 40), [], p._compared
+    texts = [(i, " ".join([words(30 + i, 1100 + i), sentence, words(80 - i, 1300 + i)])) for i in range(60)]
+    texts += [(100, words(70, 5)), (101, words(70, 5) + " more"), (102, words(20, 6) + " " + words(70, 5))]
+    monkeypatch.setattr(p, "_compared", lambda pairs, *rest: (compared.append(pairs.count()), inner(pairs, *rest))[1])
+    got = {r.doc_id: r.class_id for r in passage_groups(spark.createDataFrame(texts, "doc_id long, text string").repartition(3)).collect()}
+    assert got == {100: 100, 101: 100, 102: 100}
+    assert sum(compared) <= len(texts) + 10
+
+
+def test_met_pairs_are_those_with_a_stretch_in_common(monkeypatch):
+    from barstream.llm import passages as p
+    r = np.random.default_rng(1)
+    for block in (1, 7, 1 << 20):
+        monkeypatch.setattr(p, "MET_PAIRS", block)
+        for _ in range(30):
+            n = int(r.integers(0, 30))
+            centre = np.sort(r.integers(0, 40, n))
+            low, high, function = centre - r.integers(0, 9, n), centre + r.integers(0, 9, n), r.integers(0, 3, n)
+            want = {(i, j) for i in range(n) for j in range(i + 1, n) if function[i] != function[j]
+                    and max(low[i], low[j]) <= min(centre[i], centre[j]) and max(centre[i], centre[j]) <= min(high[i], high[j])}
+            got = list(zip(*(x.tolist() for x in p.met_pairs(low, centre, high, function))))
+            assert len(got) == len(want) and set(got) == want
+
+
+def test_shared_min_hashes_over_batches():
+    import pyarrow as pa
+    from barstream.llm import passages as p
+    r = np.random.default_rng(2)
+    for _ in range(40):
+        rows = sorted((int(c), int(n), int(x)) for c, n, x in r.integers(0, [6, 3, 3], (int(r.integers(1, 40)), 3)))
+        cuts = [0, *sorted(r.integers(0, len(rows) + 1, 4).tolist()), len(rows)]
+        batches = [pa.RecordBatch.from_arrays([pa.array([x[k] for x in rows[a:b]], pa.int64()) for k in range(3)], names=["code", "node", "place"])
+                   for a, b in zip(cuts, cuts[1:])]
+        got = [tuple(x.values()) for batch in p._shared(iter(batches)) for x in batch.to_pylist()]
+        assert got == sorted({x for x in rows if len({n for c, n, _ in rows if c == x[0]}) > 1})
+
+
 ITEMS = [(1, "Alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu"), (2, "short item"), (3, None), (4, "..."),
          (5, "beta gamma delta epsilon zeta eta theta iota kappa lambda"), (None, "nameless item of three"), (10, "Über 日本 text")]
 HITS = [(1, "x alpha, BETA gamma delta epsilon zeta eta theta iota kappa lambda y"), (2, "a short-item here and a short item"), (3, None), (4, ""),
